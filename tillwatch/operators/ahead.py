@@ -28,31 +28,33 @@ def slice_width(span: int) -> int:
     return max(span, min(24 * span, DAY_SECONDS))
 
 
+def in_slices(ticks: DataFrame, tick: str, reach: int) -> DataFrame:
+    """Add `slice` and `home`: each row in its own slice, and in the slice before if that one's
+    last rows reach it."""
+    width = slice_width(reach)
+    home = F.col("home")
+    slices = F.when(F.col(tick) - home < reach, F.array(home, home - width)).otherwise(F.array(home))
+    return ticks.withColumn("home", slice_start(F.col(tick), width)).withColumn("slice", F.explode(slices))
+
+
 def totals_ahead(ticks: DataFrame, keys: list[str], tick: str, span: int, weights: list[str]) -> DataFrame:
     """Sum each weight over [tick, tick + span]; `ticks` has one row per (keys, tick)."""
-    width = slice_width(span)
     at = F.col(tick)
-    home = slice_start(at, width)
 
-    def entry(slice_: Column, when: Column, own: bool, sign: int) -> Column:
+    def entry(when: Column, own: bool, sign: int) -> Column:
         return F.struct(
-            slice_.alias("slice"),
-            when.alias("at"),
-            F.lit(own).alias("own"),
-            *[(F.col(w) * sign).alias(w) for w in weights],
+            when.alias("at"), F.lit(own).alias("own"), *[(F.col(w) * sign).alias(w) for w in weights]
         )
 
-    enters = entry(home, at - span, False, 1)
-    leaves = entry(home, at, True, -1)
-    enters_before = entry(home - width, at - span, False, 1)
-    entries = F.when(
-        at - home < span, F.array(enters, leaves, enters_before)
-    ).otherwise(F.array(enters, leaves))
-
+    enters = entry(at - span, False, 1)
+    leaves = entry(at, True, -1)
+    entries = F.when(F.col("slice") == F.col("home"), F.array(enters, leaves)).otherwise(F.array(enters))
+    # Shuffled before the entries unfold; the window finds its partitioning in place.
+    spread = in_slices(ticks, tick, span).repartition(*keys, "slice")
+    swept = spread.select(*keys, "slice", F.explode(entries).alias("e")).select(*keys, "slice", "e.*")
     sweep = Window.partitionBy(*keys, "slice").orderBy("at", "own").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    swept = ticks.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*")
     # An own row carries its weight with the sign turned: the sum so far plus the weight itself.
     summed = swept.select(
         *keys, "at", "own", *[(F.sum(w).over(sweep) - F.col(w)).alias(w) for w in weights]

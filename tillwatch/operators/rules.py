@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.grading import graded, ratio, single_limit
-from tillwatch.functions.timekeys import MICROS, epoch_micros, floor_div, from_epoch_micros, slice_start
-from tillwatch.operators.ahead import COUNT, crowded_starts, rows_at, slice_width
+from tillwatch.functions.timekeys import MICROS, epoch_micros, floor_div, from_epoch_micros
+from tillwatch.operators.ahead import COUNT, crowded_starts, in_slices, rows_at
 from tillwatch.operators.copies import COPIES, repeat_rows
 from tillwatch.params import AgentImbalance, Dormant, GeoImpossible, Structuring, Velocity
 from tillwatch.schemas import CASH_TYPES, KYC_SINGLE_LIMITS
@@ -206,21 +206,9 @@ def _next_elsewhere(groups: DataFrame, tie: str, ties_count: bool, reach: int) -
         )
     within = within.select(*second, "at", "region", "n", "transaction_id", "turn", "found")
 
-    # One row per second, copied to the slice before if that one looks ahead to it.
-    width = slice_width(reach)
-    home = slice_start(F.col("second"), width)
-    seconds = (
-        within.groupBy(*second)
-        .agg(F.min(F.struct(*order, "turn")).alias("head"))
-        .withColumn("home", home)
-        .withColumn(
-            "slice",
-            F.explode(
-                F.when(F.col("second") - F.col("home") < reach, F.array(F.col("home"), F.col("home") - width))
-                .otherwise(F.array(F.col("home")))
-            ),
-        )
-    )
+    # One row per second from here on.
+    heads = within.groupBy(*second).agg(F.min(F.struct(*order, "turn")).alias("head"))
+    seconds = in_slices(heads, "second", reach)
     back = Window.partitionBy("customer_id", "slice").orderBy(F.desc("second"))
     past = back.rowsBetween(Window.unboundedPreceding, -1)
     before = F.lead("head").over(back)
@@ -300,12 +288,15 @@ def geo_impossible_flags(
 # --- dormant reactivation -------------------------------------------------------------------
 
 
-def dormant_flags(txns: DataFrame, rule: Dormant = Dormant(), every_copy: bool = True) -> DataFrame:
+def dormant_flags(
+    txns: DataFrame, rule: Dormant = Dormant(), every_copy: bool = True, keep=None
+) -> DataFrame:
     """First transactions after a long silence that open a burst.
 
     The silence is counted in calendar days, so only the first transaction of a day can end one:
     days per customer are enough to find it, and they are few. The burst is then counted by a
-    join on customer and day against those few instants.
+    join on customer and day against those few instants, which `keep` may write down as in
+    `velocity_flags`.
 
     Each flagged transaction appears once per transaction of its burst.
     """
@@ -322,6 +313,8 @@ def dormant_flags(txns: DataFrame, rule: Dormant = Dormant(), every_copy: bool =
         .withColumn("until", until)
         .withColumn("txn_date", F.explode(F.sequence("txn_date", F.to_date("until"))))
     )
+    if keep:
+        woken = keep(woken, "dormant_woken")
     burst = (
         rows.join(woken, ["customer_id", "txn_date"])
         .where(F.col("txn_timestamp").between(F.col("woke_at"), F.col("until")))

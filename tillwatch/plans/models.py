@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from tillwatch.operators import alerts, evaluation, marts, rules, staging
+from tillwatch.operators.copies import repeat_rows
 from tillwatch.params import RuleSettings
 from tillwatch.sources.feed import Feed
 from tillwatch.sources.store import Store, as_files, write_fact
@@ -32,8 +33,12 @@ class Models:
         self.alert_created_at = alert_created_at
         self.store = store
 
+    @property
+    def _keeper(self):
+        return self.store.keep if self.store else None
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self.store.keep(df, name) if self.store else df
+        return self._keeper(df, name) if self._keeper else df
 
     # staging
 
@@ -53,15 +58,13 @@ class Models:
 
     @cached_property
     def fr_velocity_flags(self) -> DataFrame:
-        return rules.velocity_flags(
-            self.stg_transactions, self.settings.velocity, keep=self.store and self.store.keep
-        )
+        return rules.velocity_flags(self.stg_transactions, self.settings.velocity, keep=self._keeper)
 
     @cached_property
     def fr_structuring_flags(self) -> DataFrame:
         return rules.structuring_flags(
             self.stg_transactions, self.stg_customers, self.settings.structuring,
-            keep=self.store and self.store.keep,
+            keep=self._keeper,
         )
 
     @cached_property
@@ -74,13 +77,27 @@ class Models:
             self.stg_transactions, self.stg_agents, self.settings.agent_imbalance
         )
 
+    @cached_property
+    def geo_once(self) -> DataFrame:
+        """The geo rule's output with copies counted."""
+        return rules.geo_impossible_flags(
+            self.stg_transactions, self.settings.geo_impossible, every_copy=False
+        )
+
     @cached_property
     def fr_geo_impossible_flags(self) -> DataFrame:
-        return rules.geo_impossible_flags(self.stg_transactions, self.settings.geo_impossible)
+        return repeat_rows(self.geo_once)
+
+    @cached_property
+    def dormant_once(self) -> DataFrame:
+        """The dormant rule's output with copies counted."""
+        return rules.dormant_flags(
+            self.stg_transactions, self.settings.dormant, every_copy=False, keep=self._keeper
+        )
 
     @cached_property
     def fr_dormant_reactivation_flags(self) -> DataFrame:
-        return rules.dormant_flags(self.stg_transactions, self.settings.dormant)
+        return repeat_rows(self.dormant_once)
 
     # alerts
 
@@ -88,10 +105,7 @@ class Models:
     def flags(self) -> DataFrame:
         """Output of the four transaction rules, with copies counted."""
         union = alerts.all_flags(
-            self.fr_velocity_flags,
-            self.fr_structuring_flags,
-            rules.geo_impossible_flags(self.stg_transactions, self.settings.geo_impossible, every_copy=False),
-            rules.dormant_flags(self.stg_transactions, self.settings.dormant, every_copy=False),
+            self.fr_velocity_flags, self.fr_structuring_flags, self.geo_once, self.dormant_once
         )
         return self._keep(union, "flags")
 
@@ -170,6 +184,8 @@ TABLES = (
 def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
     """Write every rule and mart to `folder`, the fact table by day; return them as read back."""
     folder = folder.rstrip("/")
+    if models.store:  # used for its own table and for the alerts
+        models.geo_once = models.store.keep(models.geo_once, "geo_once")
     written = {name: as_files(getattr(models, name), f"{folder}/{name}") for name in TABLES}
     written["fct_transactions"] = write_fact(models.fct_transactions, f"{folder}/fct_transactions")
     if models.feed.ground_truth is not None:
