@@ -1,0 +1,121 @@
+"""Heavy keys: whole results, and no group that grows with the heavy key."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tillwatch.operators import rules, staging
+from tillwatch.operators.ahead import in_slices, slice_width
+from tillwatch.operators.copies import BLOCK, COPIES, repeat_rows
+from tillwatch.operators.joins import left_join_sparse
+from tillwatch.params import Velocity
+
+ROWS = 30_000
+
+
+@pytest.fixture(scope="module")
+def heavy(spark):
+    """One customer has a third of all rows, half of those within one second."""
+    hot, burst = F.col("id") % 3 == 0, F.col("id") % 6 == 0
+    spread = F.pmod(F.xxhash64("id"), F.lit(20 * 86_400)) * 1_000_000
+    micros = F.when(burst, F.col("id") % 1_000_000).otherwise(spread)
+    start = F.lit("2026-01-01").cast("timestamp_ntz")
+    df = spark.range(ROWS).select(
+        F.concat(F.lit("t"), F.col("id")).alias("transaction_id"),
+        F.timestamp_add("MICROSECOND", micros, start).alias("txn_timestamp"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("c"), F.col("id"))).alias("customer_id"),
+        F.lit("AGT00000").alias("agent_id"),
+        F.lit("cash_in").alias("txn_type"),
+        F.lit(1).cast("decimal(14,2)").alias("amount"),
+        F.concat(F.lit("R"), F.floor(F.col("id") / 6) % 2).alias("region"),
+    )
+    return df.withColumn("txn_date", F.to_date("txn_timestamp"))
+
+
+def test_no_row_of_a_heavy_customer_is_lost(heavy):
+    rule = Velocity(window_minutes=20 * 24 * 60 + 60, min_transactions=1)
+    # Every row's window reaches the end, so the earliest rows count all of the customer's.
+    flagged = rules.velocity_flags(heavy, rule)
+    assert flagged.count() == ROWS
+    top = flagged.where("customer_id = 'hot'").agg(F.max("rule_metric")).first()[0]
+    assert top == ROWS // 3
+
+
+@pytest.fixture
+def heavy_second(heavy):
+    first = F.col("txn_timestamp") < F.lit("2026-01-01 00:00:01").cast("timestamp_ntz")
+    return heavy.where("customer_id = 'hot'").where(first & (F.substring("transaction_id", 2, 9).cast("int") % 6 == 0))
+
+
+def test_heavy_second_to_the_microsecond(heavy_second):
+    n = heavy_second.count()
+    assert n == ROWS // 6
+    flagged = rules.velocity_flags(heavy_second, Velocity(window_minutes=1, min_transactions=1, precision="micro"))
+    # Instants are distinct: the k-th from the end sees k rows.
+    assert rows(flagged, "rule_metric") == sorted(((k + 1,) for k in range(n)), key=repr)
+
+
+def test_geo_within_a_heavy_second(heavy_second):
+    # Its rows alternate between two regions: each but the last accuses the next.
+    compact = rules.geo_impossible_flags(heavy_second, every_copy=False)
+    assert compact.agg(F.sum(COPIES), F.countDistinct("transaction_id")).first()[:] == (ROWS // 6 - 1,) * 2
+
+
+def test_slices_bound_a_group(spark):
+    span = 1_200
+    ticks = spark.range(500_000).select(F.lit("hot").alias("customer_id"), F.col("id").alias("second"))
+    sliced = in_slices(ticks, "second", span)
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert max(sizes) <= slice_width(span) + span
+    assert len(sizes) > 500_000 // slice_width(span)
+    assert sliced.where("slice = home").count() == 500_000
+
+
+def test_redelivered_copies_of_one_transaction(spark):
+    raw = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("transaction_id"),
+        F.col("id").alias("amount"),
+        F.timestamp_add("SECOND", F.col("id"), F.lit("2026-01-01").cast("timestamp_ntz")).alias("loaded_at"),
+    )
+    latest = staging.latest_copy(raw)
+    assert latest.count() == 20_000 - len(range(0, 20_000, 3)) + 1
+    assert latest.where("transaction_id = 'same'").first()["amount"] == 19_998
+
+
+def test_large_counts_unfold_in_blocks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2 * BLOCK + 1), ("c", BLOCK)], "id string, copies long")
+    repeated = repeat_rows(df)
+    assert repeated.columns == ["id"]
+    assert rows(repeated.groupBy("id").count()) == [("a", 1), ("b", 2 * BLOCK + 1), ("c", BLOCK)]
+    partitions = repeated.where("id = 'b'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert partitions > 1
+
+
+def test_null_keys_are_spread(spark):
+    """Without a broadcast, NULL agents take part in the join from many partitions."""
+    left = spark.range(20_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("A"), F.col("id") % 10)).alias("agent_id"),
+    )
+    right = spark.createDataFrame([(f"A{i}", f"tier{i}") for i in range(10)], "agent_id string, tier string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = left_join_sparse(left, right, "agent_id", "transaction_id")
+        assert joined.columns == ["agent_id", "transaction_id", "tier"]
+        sizes = {
+            r["p"]: r["count"]
+            for r in joined.where("agent_id is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        }
+        assert sum(sizes.values()) == 15_000
+        assert len(sizes) == 8 and max(sizes.values()) < 4_000
+        wrong = joined.where("agent_id is not null and tier <> concat('tier', substr(agent_id, 2))").count()
+        missing = joined.where("agent_id is not null and tier is null").count()
+        assert (wrong, missing) == (0, 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -126,6 +126,11 @@ class Models:
     def fraud_alert_summary(self) -> DataFrame:
         return alerts.fraud_alert_summary(self._alerts(every_copy=False))
 
+    @cached_property
+    def kept_summary(self) -> DataFrame:
+        """The summary, written down for whoever joins it with a large table."""
+        return self._keep(self.fraud_alert_summary, "fraud_alert_summary")
+
     # evaluation
 
     def _truth(self) -> DataFrame:
@@ -135,11 +140,11 @@ class Models:
 
     @cached_property
     def fraud_rule_evaluation(self) -> DataFrame:
-        return evaluation.rule_evaluation(self._truth(), self.fraud_alert_summary)
+        return evaluation.rule_evaluation(self._truth(), self.kept_summary)
 
     @cached_property
     def recall_by_pattern(self) -> DataFrame:
-        return evaluation.recall_by_pattern(self._truth(), self.fraud_alert_summary)
+        return evaluation.recall_by_pattern(self._truth(), self.kept_summary)
 
     # marts
 

@@ -60,15 +60,27 @@ class Store:
     """Keeps intermediate results as Parquet in the shared folder.
 
     A kept result is computed once, survives lost executors, and is read with column pruning and
-    a known size. The files go when the Spark application ends.
+    a known size. The files go with `clear`, or when the Spark application ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        self._paths = []
+
+    def folder(self, name: str) -> str:
+        """A new folder of the store."""
+        folder = f"{shared_folder(self.spark).rstrip('/')}/tillwatch/{name}-{uuid.uuid4().hex}"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system.deleteOnExit(path)
+        self._paths.append((system, path))
+        return folder
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{shared_folder(self.spark).rstrip('/')}/tillwatch/{name}-{uuid.uuid4().hex}"
-        kept = as_files(df, path)
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-        return kept
+        return as_files(df, self.folder(name))
+
+    def clear(self) -> None:
+        """Delete everything kept so far; results that read it are no longer usable."""
+        while self._paths:
+            system, path = self._paths.pop()
+            system.delete(path, True)
