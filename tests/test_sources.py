@@ -11,6 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tillwatch.__main__ import run
 from tillwatch.functions.timekeys import epoch_micros, epoch_seconds, from_epoch_micros
 from tillwatch.plans.models import TABLES, Models, write_all
 from tillwatch.sources import feed as feeds
@@ -144,6 +145,14 @@ def test_write_all(spark, folder, tmp_path):
     assert rows(written["fraud_rule_evaluation"])[0] == (2, 1, 0, 0, 0, 1, 0.0, None)
 
 
+def test_run_over_a_folder(spark, folder, tmp_path):
+    (folder / "fraud_ground_truth.csv.gz").unlink()
+    written = run(spark, str(folder), str(tmp_path / "out"), as_of=dt.date(2026, 3, 1), read_partitions=2)
+    assert set(written) == {*TABLES, "fct_transactions", "dq_violations"}
+    assert written["dim_customers"].count() == 2
+    assert written["dq_violations"].count() == 0
+
+
 def test_models_without_labels(spark, folder):
     feed = read(spark, folder)
     unlabelled = Models(Feed(feed.agents, feed.customers, feed.transactions))

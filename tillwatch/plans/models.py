@@ -7,7 +7,8 @@ written down once: the staged transactions, the few instants the window rules fi
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
 
@@ -80,9 +81,10 @@ class Models:
     @cached_property
     def geo_once(self) -> DataFrame:
         """The geo rule's output with copies counted."""
-        return rules.geo_impossible_flags(
+        found = rules.geo_impossible_flags(
             self.stg_transactions, self.settings.geo_impossible, every_copy=False
         )
+        return self._keep(found, "geo_once")
 
     @cached_property
     def fr_geo_impossible_flags(self) -> DataFrame:
@@ -104,9 +106,15 @@ class Models:
     @cached_property
     def flags(self) -> DataFrame:
         """Output of the four transaction rules, with copies counted."""
-        union = alerts.all_flags(
-            self.fr_velocity_flags, self.fr_structuring_flags, self.geo_once, self.dormant_once
-        )
+        by_rule = ("fr_velocity_flags", "fr_structuring_flags", "geo_once", "dormant_once")
+        if self.store:
+            # Some of them write down what they find on the way. These jobs wait for nothing but
+            # the staged tables, so they run side by side.
+            self.stg_transactions, self.stg_customers
+            with ThreadPoolExecutor(len(by_rule)) as pool:
+                union = alerts.all_flags(*pool.map(partial(getattr, self), by_rule))
+        else:
+            union = alerts.all_flags(*[getattr(self, name) for name in by_rule])
         return self._keep(union, "flags")
 
     def _alerts(self, **options) -> DataFrame:
@@ -189,8 +197,6 @@ TABLES = (
 def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
     """Write every rule and mart to `folder`, the fact table by day; return them as read back."""
     folder = folder.rstrip("/")
-    if models.store:  # used for its own table and for the alerts
-        models.geo_once = models.store.keep(models.geo_once, "geo_once")
     written = {name: as_files(getattr(models, name), f"{folder}/{name}") for name in TABLES}
     written["fct_transactions"] = write_fact(models.fct_transactions, f"{folder}/fct_transactions")
     if models.feed.ground_truth is not None:
