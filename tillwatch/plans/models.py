@@ -35,11 +35,12 @@ class Models:
         self.store = store
 
     @property
-    def _keeper(self):
+    def keep(self):
+        """What writes an intermediate result down, if there is a store."""
         return self.store.keep if self.store else None
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self._keeper(df, name) if self._keeper else df
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return self.store.keep(df, name) if self.store else df
 
     # staging
 
@@ -53,19 +54,18 @@ class Models:
 
     @cached_property
     def stg_transactions(self) -> DataFrame:
-        return self._keep(staging.stg_transactions(self.feed.transactions), "stg_transactions")
+        return self._kept(staging.stg_transactions(self.feed.transactions), "stg_transactions")
 
     # rules
 
     @cached_property
     def fr_velocity_flags(self) -> DataFrame:
-        return rules.velocity_flags(self.stg_transactions, self.settings.velocity, keep=self._keeper)
+        return rules.velocity_flags(self.stg_transactions, self.settings.velocity, keep=self.keep)
 
     @cached_property
     def fr_structuring_flags(self) -> DataFrame:
         return rules.structuring_flags(
-            self.stg_transactions, self.stg_customers, self.settings.structuring,
-            keep=self._keeper,
+            self.stg_transactions, self.stg_customers, self.settings.structuring, keep=self.keep
         )
 
     @cached_property
@@ -84,7 +84,7 @@ class Models:
         found = rules.geo_impossible_flags(
             self.stg_transactions, self.settings.geo_impossible, every_copy=False
         )
-        return self._keep(found, "geo_once")
+        return self._kept(found, "geo_once")
 
     @cached_property
     def fr_geo_impossible_flags(self) -> DataFrame:
@@ -94,7 +94,7 @@ class Models:
     def dormant_once(self) -> DataFrame:
         """The dormant rule's output with copies counted."""
         return rules.dormant_flags(
-            self.stg_transactions, self.settings.dormant, every_copy=False, keep=self._keeper
+            self.stg_transactions, self.settings.dormant, every_copy=False, keep=self.keep
         )
 
     @cached_property
@@ -115,7 +115,7 @@ class Models:
                 union = alerts.all_flags(*pool.map(partial(getattr, self), by_rule))
         else:
             union = alerts.all_flags(*[getattr(self, name) for name in by_rule])
-        return self._keep(union, "flags")
+        return self._kept(union, "flags")
 
     def _alerts(self, **options) -> DataFrame:
         return alerts.fraud_alerts(
@@ -137,7 +137,7 @@ class Models:
     @cached_property
     def kept_summary(self) -> DataFrame:
         """The summary, written down for whoever joins it with a large table."""
-        return self._keep(self.fraud_alert_summary, "fraud_alert_summary")
+        return self._kept(self.fraud_alert_summary, "fraud_alert_summary")
 
     # evaluation
 
