@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.grading import graded, ratio, single_limit
-from tillwatch.functions.timekeys import MICROS, epoch_micros, floor_div, from_epoch_micros
+from tillwatch.functions.timekeys import MICROS, epoch_micros, epoch_seconds, floor_div, from_epoch_micros
 from tillwatch.operators.ahead import COUNT, crowded_starts, in_slices, rows_at
 from tillwatch.operators.copies import COPIES, repeat_rows
 from tillwatch.params import AgentImbalance, Dormant, GeoImpossible, Structuring, Velocity
@@ -287,6 +287,8 @@ def geo_impossible_flags(
 
 # --- dormant reactivation -------------------------------------------------------------------
 
+FRACTIONS = 8
+
 
 def dormant_flags(
     txns: DataFrame, rule: Dormant = Dormant(), every_copy: bool = True, keep=None
@@ -295,8 +297,8 @@ def dormant_flags(
 
     The silence is counted in calendar days, so only the first transaction of a day can end one:
     days per customer are enough to find it, and they are few. The burst is then counted by a
-    join on customer and day against those few instants, which `keep` may write down as in
-    `velocity_flags`.
+    join on customer and a fraction of the window against those few instants, which `keep` may
+    write down as in `velocity_flags`. Fractions cut a busy customer's busy day.
 
     Each flagged transaction appears once per transaction of its burst.
     """
@@ -307,16 +309,27 @@ def dormant_flags(
         .agg(F.min("txn_timestamp").alias("woke_at"))
         .withColumn("silent_days", F.datediff("txn_date", F.lag("txn_date").over(by_day)))
     )
-    until = F.timestamp_add("HOUR", F.lit(rule.window_hours), F.col("woke_at"))
+    fraction = rule.window_hours * 3600 // FRACTIONS
+
+    def part(ts: str) -> Column:
+        return floor_div(epoch_seconds(F.col(ts)), fraction)
+
     woken = (
         days.where(F.col("silent_days") >= rule.dormancy_days)
-        .withColumn("until", until)
-        .withColumn("txn_date", F.explode(F.sequence("txn_date", F.to_date("until"))))
+        .withColumn("until", F.timestamp_add("HOUR", F.lit(rule.window_hours), F.col("woke_at")))
+        .select(
+            "customer_id",
+            "woke_at",
+            "until",
+            "silent_days",
+            F.explode(F.sequence(part("woke_at"), part("until"))).alias("part"),
+        )
     )
     if keep:
         woken = keep(woken, "dormant_woken")
     burst = (
-        rows.join(woken, ["customer_id", "txn_date"])
+        rows.withColumn("part", part("txn_timestamp"))
+        .join(woken, ["customer_id", "part"])
         .where(F.col("txn_timestamp").between(F.col("woke_at"), F.col("until")))
         .groupBy("customer_id", "woke_at", "silent_days")
         .agg(
