@@ -17,11 +17,14 @@ def duck():
     return compare.connect(SF)
 
 
+PAYMENTS = sorted(set(entry.queries()) - set(entry._training_data()))
+
+
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(PAYMENTS) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", PAYMENTS)
 def test_query(spark, duck, name):
     kinds, found = compare.spark_result(entry.queries()[name](spark, SF))
     expected_kinds, expected = compare.duck_result(duck, entry.oracle_sql()[name])
