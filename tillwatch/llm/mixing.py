@@ -8,8 +8,9 @@ target by less than one document, and each document keeps its expected number of
 
 The pairs form a reduction tree. Documents are dealt to blocks of about `FAN_IN` by a hash, a block
 settles all but at most one of its documents, and the residuals of `FAN_IN` blocks make a block of the
-next level, which is written to the shared folder before the level after it. What remains at the root
-is settled by its own draw. Every draw is a hash of the documents that meet, so reruns agree.
+next level, which is written to the shared folder before the level after it. A block starts with its longest
+documents: a long one that meets many short ones is settled on the way, so what remains is short. What
+remains at the root is settled by its own draw. Every draw is a hash of the documents that meet, so reruns agree.
 
 Only DataFrame functions run. Nulls: a null text has no words; a null source is a source of its own,
 after all others; a null doc_id is an id like any other. Repeated rows are told apart by a number, so
@@ -35,7 +36,6 @@ SEED = 20_240_601
 EDGE = 1e-9
 
 KEY = ("doc_id", "source", "size", "text_hash", "copy")
-ITEM = "doc_id bigint, source string, size bigint, text_hash bigint, copy bigint, p double"
 
 
 def sizes(documents: DataFrame) -> DataFrame:
@@ -103,8 +103,8 @@ def _with_p(item: Column, p: Column) -> Column:
 
 def _settle(items: Column) -> Column:
     """Fold a block: `carry` is the document still open (null at first), `done` those settled."""
-    none = F.expr(f"cast(null as struct<{ITEM.replace(' ', ':').replace(',:', ',')}>)")
-    nothing = F.expr(f"cast(array() as array<struct<{ITEM.replace(' ', ':').replace(',:', ',')}>>)")
+    item = "struct<doc_id:bigint,source:string,size:bigint,text_hash:bigint,copy:bigint,p:double>"
+    none, nothing = F.lit(None).cast(item), F.array().cast(f"array<{item}>")
 
     def snapped(p: Column) -> Column:
         return F.when(p < EDGE, F.lit(0.0)).when(p > 1 - EDGE, F.lit(1.0)).otherwise(p)
@@ -134,7 +134,7 @@ def _settle(items: Column) -> Column:
             F.least(c["p"], (1 - x["p"]) * ratio).alias("down"),
             ratio.alias("ratio"),
         )
-        return F.when(c.isNull(), F.struct(x.alias("carry"), done.alias("done"))).otherwise(
+        return F.when(c.isNull(), F.struct(_with_p(x, x["p"]).alias("carry"), done.alias("done"))).otherwise(
             _let(_let(amounts, transfer), moved)
         )
 
@@ -143,9 +143,9 @@ def _settle(items: Column) -> Column:
 
 def _level(items: DataFrame) -> DataFrame:
     """One row per block, settled but for its carry."""
-    item = F.struct(*KEY, "p").alias("item")
+    item = F.struct("size", *[k for k in KEY if k != "size"], "p").alias("item")
     blocks = items.select("source", "block", item).groupBy("source", "block")
-    return blocks.agg(F.sort_array(F.collect_list("item")).alias("items")).select(
+    return blocks.agg(F.sort_array(F.collect_list("item"), asc=False).alias("items")).select(
         "source", "block", _settle(F.col("items")).alias("state")
     )
 

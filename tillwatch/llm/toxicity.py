@@ -7,8 +7,8 @@ apart best; a sentence is described by its kernel values with the landmarks, whi
 kernel matrix (Nystroem), and divided by the square root of its length. A linear machine (hinge loss) is
 trained on labelled sentences: labels are on documents, so of a toxic document the sentence that the machine
 holds most toxic is the example, chosen anew in each round, and of a clean one every sentence is an example,
-of which the hardest are used. A document scores as its worst sentence, through a logistic curve fitted to
-the training documents.
+of which the hardest are used. A document's score comes from its worst sentence and from how much there is of
+such sentences, through a logistic curve fitted to the training documents.
 
 As whitening and the machine are linear, the machine is one weight per subsequence, and scoring a text is a
 sum over its places and gaps: no landmark is compared again. Subsequences are hashed to `TABLE` numbers.
@@ -42,6 +42,15 @@ LENGTH = 4
 SPAN = 7
 DECAY = 0.7
 LANDMARKS = 192
+#: The machine's penalty on its weights, and the part of the largest eigenvalue below which landmarks count as alike.
+RIDGE = 1e-3
+LEAST_EIGENVALUE = 1e-6
+#: Lengths at which the beginning of a word may be a landmark.
+BEGINNINGS = (5, 6, 7)
+#: The chi-square root from which a word tells the classes apart.
+MIN_GAIN = 4.0
+#: The largest share of toxic documents that may be left out as wrongly labelled.
+DOUBTFUL = 0.35
 MAX_DOCUMENTS = 1_500
 TABLE_BITS = 20
 TABLE = 1 << TABLE_BITS
@@ -62,6 +71,8 @@ _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uin
 def sentences(text: str) -> list[str]:
     """The lower-cased sentences, each with every different word once, cut at about SENTENCE_CHARS.
 
+    They start with a space, so that every word does; how a word begins can be told from what it holds.
+
     A word said again and again says no more than once, but would add up in the kernel.
     """
     out = []
@@ -71,10 +82,10 @@ def sentences(text: str) -> list[str]:
             cut = words.find(" ", SENTENCE_CHARS)
             if cut < 0:
                 break
-            out.append(words[:cut])
+            out.append(f" {words[:cut]}")
             words = words[cut + 1 :]
         if words:
-            out.append(words)
+            out.append(f" {words}")
     return out
 
 
@@ -116,11 +127,12 @@ def _norm(strings: list[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights of the hashed subsequences that count, and the curve from the worst sentence to a score."""
+    """Weights of the hashed subsequences that count, and the curve from a text's sentences to its score."""
 
     at: np.ndarray
     weight: np.ndarray
-    slope: float
+    edge: float
+    slopes: np.ndarray
     offset: float
 
     def table(self) -> np.ndarray:
@@ -128,8 +140,8 @@ class Model:
         table[self.at] = self.weight
         return table
 
-    def score(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))
+    def score(self, values: list[np.ndarray]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(summary(values, self.edge) @ self.slopes + self.offset, -30, 30)))
 
 
 def sentence_values(strings: list[str], table: np.ndarray) -> np.ndarray:
@@ -150,10 +162,10 @@ def sentence_values(strings: list[str], table: np.ndarray) -> np.ndarray:
     return np.bincount(owner, weights=total, minlength=len(strings)) / _norm(strings)
 
 
-def worst_sentences(texts: list[list[str]], table: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The largest value of each text (0 for one without sentences), and all values."""
+def values_by_text(texts: list[list[str]], table: np.ndarray) -> list[np.ndarray]:
+    """The values of each text's sentences."""
     flat = [s for t in texts for s in t]
-    values, chunk, chars = [], [], 0
+    values, chunk, chars = [np.zeros(0)], [], 0
     for s in flat:
         chunk.append(s)
         chars += len(s)
@@ -162,20 +174,29 @@ def worst_sentences(texts: list[list[str]], table: np.ndarray) -> tuple[np.ndarr
             chunk, chars = [], 0
     if chunk:
         values.append(sentence_values(chunk, table))
-    every = np.concatenate(values) if values else np.zeros(0)
     ends = np.cumsum([len(t) for t in texts])
-    own = np.split(every, ends[:-1]) if texts else []
-    return np.array([v.max() if len(v) else 0.0 for v in own]), own
+    return np.split(np.concatenate(values), ends[:-1]) if texts else []
+
+
+def summary(values: list[np.ndarray], edge: float) -> np.ndarray:
+    """Per text: the value of the worst sentence, and the logarithm of how much of it is above an edge."""
+    worst = [v.max() if len(v) else 0.0 for v in values]
+    above = [np.log1p(np.maximum(0, v - edge).sum()) for v in values]
+    return np.stack([worst, above], axis=1) if values else np.zeros((0, 2))
 
 
 # --- training -------------------------------------------------------------------------------
 
 
-def _landmarks(texts: list[list[str]], toxic: np.ndarray, wanted: int) -> list[str]:
-    """Words that occur in more of one class than of the other, by the signed root of their chi-square."""
+def _landmarks(texts: list[list[str]], toxic: np.ndarray, wanted: int) -> tuple[list[str], list[str]]:
+    """Words and beginnings of words that tell the classes apart (by the root of their chi-square); frequent clean ones.
+
+    They start with a space, as words do in sentences.
+    """
     counts = {1: Counter(), 0: Counter()}
     for text, label in zip(texts, toxic, strict=True):
-        counts[label].update({w.strip(".,;:()") for s in text for w in s.split()})
+        words = {w.strip(".,;:()") for s in text for w in s.split()}
+        counts[label].update({w[:n] for w in words if len(w) >= LENGTH for n in (*BEGINNINGS, len(w))})
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
 
     def gain(word: str) -> float:
@@ -183,10 +204,11 @@ def _landmarks(texts: list[list[str]], toxic: np.ndarray, wanted: int) -> list[s
         return (a - b) / np.sqrt((a + b) / 2 * (1 - (a + b) / 2) * (1 / n1 + 1 / n0) + 1e-9)
 
     words = [w for w in {*counts[1], *counts[0]} if LENGTH <= len(w) <= 32 and counts[1][w] + counts[0][w] > 1]
-    ranked = sorted(words, key=lambda w: (-gain(w), w))
+    ranked = sorted(((gain(w), w) for w in words), key=lambda g: (-g[0], g[1]))
     clean = wanted // 4  # so that the machine also sees what ordinary text is made of
     most = sorted(words, key=lambda w: (-counts[0][w], w))[:clean]
-    return list(dict.fromkeys([*ranked[: wanted - clean], *most]))
+    telling = [w for g, w in ranked[: wanted - clean] if g >= MIN_GAIN] or [w for _, w in ranked[:8]]
+    return [f" {w}" for w in telling], [f" {w}" for w in most if w not in telling]
 
 
 def _hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray, steps: int = 400) -> np.ndarray:
@@ -194,26 +216,26 @@ def _hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray, st
     w = start.copy()
     free = np.ones(x.shape[1])
     free[-1] = 0
-    lipschitz = 2 * np.linalg.norm(x * np.sqrt(cost)[:, None], 2) ** 2 + 1e-3
+    lipschitz = 2 * np.linalg.norm(x * np.sqrt(cost)[:, None], 2) ** 2 + RIDGE
     v, t = w.copy(), 1.0
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (x @ v))
-        gradient = -2 * x.T @ (cost * y * slack) + 1e-3 * free * v
+        gradient = -2 * x.T @ (cost * y * slack) + RIDGE * free * v
         new = v - gradient / lipschitz
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the curve, by damped Newton steps with a small prior."""
-    scale = max(float(x.std()), 1e-9)
-    z, w = np.stack([x / scale, np.ones(len(x))], 1), np.zeros(2)
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of the curve, by damped Newton steps with a small prior."""
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    z, w = np.column_stack([x / scale, np.ones(len(x))]), np.zeros(x.shape[1] + 1)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(2)
+        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(len(w))
         w -= np.clip(np.linalg.solve(h, z.T @ (p - y) + 0.05 * w), -2, 2)
-    return float(w[0] / scale), float(w[1])
+    return w[:-1] / scale, float(w[-1])
 
 
 def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
@@ -223,7 +245,8 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
     cut, toxic = [cut[i] for i in kept], np.array([labels[i] for i in kept], int)
     if not len(toxic) or toxic.min() == toxic.max():
         return None
-    words = _landmarks(cut, toxic, landmarks)
+    telling, plain = _landmarks(cut, toxic, landmarks)
+    words = [*telling, *plain]
     if not words:
         return None
     bags = features(words)
@@ -234,7 +257,7 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         phi[i, [place[k] for k in b]] = list(b.values())
     phi /= np.maximum(np.linalg.norm(phi, axis=1, keepdims=True), 1e-12)
     values, vectors = np.linalg.eigh(phi @ phi.T)
-    good = values > 1e-6 * values.max()
+    good = values > LEAST_EIGENVALUE * values.max()
     project = (vectors[:, good] / np.sqrt(values[good])).T @ phi  # Nystroem: sentence features to coordinates
 
     compact = np.full(TABLE, -1, np.int32)
@@ -260,14 +283,22 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         return found
 
     # The first choice of sentences: by the landmarks that speak for toxicity.
-    rates = np.array([1.0] * (landmarks - landmarks // 4) + [0.0] * len(words))[: len(words)]
     start = np.zeros(TABLE, np.float32)
-    start[at] = rates @ phi
+    start[at] = phi[: len(telling)].sum(axis=0)
     w, now = np.zeros(project.shape[0] + 1), start
     held: dict[str, None] = {}
-    for _ in range(rounds):
-        _, own = worst_sentences(cut, now)
-        positive = [c[int(v.argmax())] for c, v, t in zip(cut, own, toxic, strict=True) if t]
+    for round_ in range(rounds):
+        own = values_by_text(cut, now)
+        best = [(float(v.max()), c[int(v.argmax())]) for c, v, t in zip(cut, own, toxic, strict=True) if t]
+        if round_ > 1:
+            # Labels err: what still looks clean among the toxic is left out, at most DOUBTFUL of them.
+            least = min(np.quantile([b for b, _ in best], DOUBTFUL), -w[-1] - 0.5)
+            best = [b for b in best if b[0] >= least]
+        positive = [text for _, text in best]
+        if round_ > 0:  # further sentences on the toxic side, so that one insult among many words counts too
+            for c, v, t in zip(cut, own, toxic, strict=True):
+                if t:
+                    positive += [c[j] for j in np.argsort(-v, kind="stable")[1:4] if v[j] > -w[-1]]
         for c, v, t in zip(cut, own, toxic, strict=True):
             if not t:
                 held.update(dict.fromkeys(c[j] for j in np.argsort(-v, kind="stable")[:2]))
@@ -277,9 +308,13 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         cost = np.where(y > 0, 0.5 / max(1, len(positive)), 0.5 / max(1, len(negative))) * 200
         w = _hinge(x, y, cost, w)
         now = table(w)
-    worst, _ = worst_sentences(cut, now)
-    slope, offset = _logistic(worst, toxic.astype(float))
-    return Model(at, now[at], slope, offset)
+    edge = -float(w[-1]) - 0.5
+    found = summary(values_by_text(cut, now), edge)
+    slopes, offset = _logistic(found, toxic.astype(float))
+    if slopes.min() < 0:  # neither may speak against toxicity
+        found[:, slopes.argmin()] = 0
+        slopes, offset = _logistic(found, toxic.astype(float))
+    return Model(at, now[at], edge, slopes, offset)
 
 
 # --- operators ------------------------------------------------------------------------------
@@ -324,7 +359,7 @@ def scored(text: Column, model: Model | None) -> Column:
                     cut.append(sentences(text.as_py()))
                     chars += sum(map(len, cut[-1]))
                     if chars >= BATCH_CHARS or i + 1 == len(texts):
-                        found[first : i + 1] = model.score(worst_sentences(cut, table)[0])
+                        found[first : i + 1] = model.score(values_by_text(cut, table))
                         cut, chars, first = [], 0, i + 1
             yield pa.array(found, pa.float64())
 
