@@ -21,10 +21,13 @@ strings in a text are ordinary text.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import accumulate, chain
 
@@ -61,6 +64,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 def _words(text: str) -> list[str]:
     """The text cut at each space that has no other white space beside it; the first part has none before it."""
     parts = text.split(" ")
@@ -81,8 +88,8 @@ class Codec:
         self.pieces = regex.compile(pattern).findall
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.digits = {rank: str(rank) for rank in self.bytes_of}
-        self.known: dict[str, tuple[int, ...]] = {}  # ids of pieces
-        self.spaced: dict[str, tuple[int, ...]] = {}  # ids of words after a space
+        self.known: dict[str, bytes] = {}  # ids of pieces, as the bytes of an array
+        self.spaced: dict[str, bytes] = {}  # ids of words after a space
         self.ties = self._ties()
         self.library = self._library()
 
@@ -120,11 +127,11 @@ class Codec:
         for piece in pieces:
             raw = piece.encode()
             if raw not in self.ranks and self._tied(raw):
-                self.known[piece] = tuple(self.by_rank(raw))
+                self.known[piece] = _packed(self.by_rank(raw))
             else:
                 plain.append(piece)
         for piece, found in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            self.known[piece] = tuple(found.ids)
+            self.known[piece] = _packed(found.ids)
 
     def by_rank(self, raw: bytes) -> list[int]:
         """Merge the pair of lowest rank, the leftmost first, until none is left."""
@@ -156,7 +163,7 @@ class Codec:
             offer(i)
         return [self.ranks[raw[i : ends[i]]] for i in range(len(raw)) if alive[i]]
 
-    def _encode_pieces(self, words: list[str]) -> Iterator[tuple[int, ...]]:
+    def _encode_pieces(self, words: list[str]) -> Iterator[bytes]:
         """The ids of each word; no more words than are remembered."""
         cut = [self.pieces(w) for w in words]
         for i in range(0, len(cut), STEP):
@@ -166,11 +173,11 @@ class Codec:
                 self.known.clear()
             self._learn([p for p in needed if p not in self.known])
             for pieces in step:
-                yield tuple(chain.from_iterable(map(self.known.__getitem__, pieces)))
+                yield b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
         first, *words = _words(text)
-        ids = list(next(self._encode_pieces([first])))
+        found = [next(self._encode_pieces([first]))]
         for i in range(0, len(words), STEP):  # what one step needs is not forgotten within it
             step = words[i : i + STEP]
             needed = set(step)
@@ -179,8 +186,8 @@ class Codec:
                     self.spaced.clear()
                 new = [w for w in needed if w not in self.spaced]
                 self.spaced.update(zip(new, self._encode_pieces([f" {w}" for w in new]), strict=True))
-            ids += chain.from_iterable(map(self.spaced.__getitem__, step))
-        return ids
+            found += map(self.spaced.__getitem__, step)
+        return array("i", b"".join(found)).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -193,6 +200,16 @@ class Codec:
         return [e - s for e, s in zip(ends, split, strict=False)]
 
 
+@contextmanager
+def rare_collection():
+    """Collect cycles only at the end: the many small results of a batch make none."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
@@ -232,15 +249,16 @@ def round_trip(documents: DataFrame, ranks: str = RANKS, pattern: str = public_t
 
     def make(batch: pa.RecordBatch) -> Iterator[tuple]:
         own = codec(public_tokenizers.path(ranks), pattern)
-        for doc_id, text in zip(*batch.columns, strict=True):
-            ids = own.encode(text.as_py())
-            listed = ",".join(map(own.digits.__getitem__, ids))
-            yield (
-                doc_id.as_py(),
-                len(ids),
-                hashlib.sha256(listed.encode()).hexdigest(),
-                hashlib.sha256(own.decode(ids)).hexdigest(),
-            )
+        with rare_collection():
+            for doc_id, text in zip(*batch.columns, strict=True):
+                ids = own.encode(text.as_py())
+                listed = ",".join(map(own.digits.__getitem__, ids))
+                yield (
+                    doc_id.as_py(),
+                    len(ids),
+                    hashlib.sha256(listed.encode()).hexdigest(),
+                    hashlib.sha256(own.decode(ids)).hexdigest(),
+                )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
