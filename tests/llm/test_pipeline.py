@@ -1,0 +1,59 @@
+"""The pipeline's stages in a row, and the registered queries with SQL, on whole tables."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+import compare
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tillwatch.llm import queries, simhash, toxicity
+from tillwatch.llm.common import table
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_against_sql(spark, name):
+    kinds, found = compare.spark_result(queries.QUERIES[name](spark, SF))
+    expected_kinds, expected = compare.duck_result(compare.connect(SF), queries.SQL[name])
+    assert kinds == expected_kinds
+    assert found == expected
+
+
+def test_all_queries_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
+
+
+def test_stages(spark):
+    docs = table(spark, SF, "documents")
+    columns, left = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == columns
+        rows = after.collect()
+        if name == "toxicity":
+            model = toxicity.fit(docs, table(spark, SF, "labels"))
+            clean = {r.doc_id for r in toxicity.score(docs, model).where("predicted = 0").collect()}
+            assert sorted(r.doc_id for r in rows) == sorted(clean)
+        if name == "simhash_near_dedup":
+            found = simhash.near_duplicates(docs).collect()
+            assert sorted(r.doc_id for r in rows) == sorted({r.component_id for r in found})
+        if name == "mixing":
+            assert max(Counter(r.doc_id for r in rows).values()) <= 2
+            assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+        left[name] = len(rows)
+        docs = spark.createDataFrame(rows, after.schema)
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert out.count() == left["mixing"] == corpus_pipeline.run(spark, SF).count()
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.collect() == []

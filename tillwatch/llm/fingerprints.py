@@ -195,10 +195,10 @@ def fingerprint_with_next(documents: DataFrame, samples: int = SAMPLES, bucket_r
     importable(spark)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
-    n = ids.count()
-    buckets = max(1, -(-n // bucket_rows))
-    cuts = ids.where("doc_id is not null").approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
-    edges = np.unique(np.asarray(cuts, float)) if buckets > 1 else np.zeros(0)
+    known = ids.where("doc_id is not null")
+    buckets = -(-known.count() // bucket_rows)
+    cuts = [i / buckets for i in range(1, buckets)]
+    edges = np.unique(known.approxQuantile("doc_id", cuts, 0.1 / buckets)) if cuts else np.zeros(0)
 
     @F.pandas_udf("long")
     def bucket_of(doc_id: pd.Series) -> pd.Series:
