@@ -153,7 +153,7 @@ _GEO_EXACT = _geo(
     "(b.txn_timestamp > a.txn_timestamp OR (b.txn_timestamp = a.txn_timestamp AND b.region > a.region))",
     "struct_pack(ts := b.txn_timestamp, region := b.region, id := b.transaction_id)",
     "us <= 45 * 60000000::BIGINT",
-    "round(us / 60000000.0::DOUBLE, 1)",
+    "CAST(printf('%.1f', us / 60000000.0::DOUBLE) AS DOUBLE)",
     "us * 2 <= 45 * 60000000::BIGINT",
 )
 
@@ -206,7 +206,14 @@ summary AS (
 )"""
 _RULES = (_VELOCITY, _STRUCTURING, _GEO, _DORMANT, _UNION)
 _QUEUE = (*_RULES, _ALERTS, _SUMMARY)
-_QUEUE_EXACT = (_VELOCITY_US, _STRUCTURING_US, _GEO_EXACT, _UNION_EXACT, _ALERTS, _SUMMARY)
+_ALERTS_EXACT = """
+alerts AS (
+    SELECT f.transaction_id, f.customer_id, f.txn_timestamp, f.fraud_pattern, f.severity, t.txn_type,
+           CAST(t.amount AS DOUBLE) AS amount, t.region, NULL AS kyc_tier, 'open' AS review_status
+    FROM flags f LEFT JOIN txns t ON t.transaction_id = f.transaction_id
+)"""
+_RULES_EXACT = (_VELOCITY_US, _STRUCTURING_US, _GEO_EXACT, _UNION_EXACT)
+_QUEUE_EXACT = (*_RULES_EXACT, _ALERTS_EXACT, _SUMMARY)
 
 _SCORED = """
 scored AS (
@@ -325,8 +332,7 @@ def _offences() -> str:
     for relation, table, key, more in _CHECKED:
         line = dict(relation=f"'{relation}'", table=table)
         parts.append(_OFFENCE.format(check="unique", column=key, where=f"{key} IS NOT NULL", having=" HAVING count(*) > 1", **line))
-        checked = (key, "amount") if relation == "stg_transactions" else (key,)
-        for c in checked:
+        for c in (key, *more):
             parts.append(_OFFENCE.format(check="not_null", column=c, where=f"{c} IS NULL", having="", **line))
     for relation, table, column, accepted in _ACCEPTED:
         parts.append(_OFFENCE.format(check="accepted_values", relation=f"'{relation}'", column=column, table=table,
@@ -341,6 +347,34 @@ def _with(select: str, *steps: str) -> str:
     return "WITH " + ",".join((_MAPPING, *steps)) + "\n" + select
 
 
+def _dashboard(rules: tuple, queue: tuple, order: str, suffix: str = "") -> dict[str, str]:
+    found = {
+        "fraud_rule_evaluation_zero": _with("SELECT * FROM evaluation_zero", *queue, _SCORED, _ZERO),
+        "validation_metrics": _with(
+            'SELECT recall, "precision", false_positives FROM evaluation_zero', *queue, _SCORED, _ZERO
+        ),
+        "recall_by_pattern": _with(
+            """SELECT fraud_pattern, count(*) AS actual, count(*) FILTER (hit) AS caught,
+       count(*) FILTER (hit) / CAST(count(*) AS DOUBLE) AS recall
+FROM scored WHERE is_fraud GROUP BY fraud_pattern""",
+            *queue, _SCORED,
+        ),
+        "kpis": _with(
+            f"""SELECT (SELECT count(*) FROM txns) AS total_transactions, (SELECT count(*) FROM summary) AS flagged_transactions,
+       (SELECT count(*) FROM summary) / CAST((SELECT count(*) FROM txns) AS DOUBLE) AS flag_rate,
+       (SELECT count(*) FROM cents WHERE {_TILTED}) AS agent_imbalance_alerts""",
+            *queue, _CENTS,
+        ),
+        "alert_queue_top200": _with(
+            f"""SELECT transaction_id, txn_timestamp, customer_id, txn_type, amount, region, rules_tripped, fraud_patterns
+FROM summary ORDER BY {order}, transaction_id LIMIT 200""",
+            *queue,
+        ),
+        "alerts_by_rule": _with("SELECT fraud_pattern, count(*) AS alert_count FROM flags GROUP BY fraud_pattern", *rules),
+    }
+    return {f"{name}{suffix}": sql for name, sql in found.items()}
+
+
 def statements() -> dict[str, str]:
     return {
         "stg_agents": _with(f"SELECT {_AGENT} FROM agents_s"),
@@ -410,28 +444,8 @@ GROUP BY transaction_id, customer_id, txn_timestamp, fraud_pattern, txn_type, am
             *_QUEUE_EXACT,
         ),
         "fraud_rule_evaluation": _with("SELECT * FROM evaluation", *_QUEUE, _SCORED),
-        "fraud_rule_evaluation_zero": _with("SELECT * FROM evaluation_zero", *_QUEUE, _SCORED, _ZERO),
-        "validation_metrics": _with(
-            'SELECT recall, "precision", false_positives FROM evaluation_zero', *_QUEUE, _SCORED, _ZERO
-        ),
-        "recall_by_pattern": _with(
-            """SELECT fraud_pattern, count(*) AS actual, count(*) FILTER (hit) AS caught,
-       count(*) FILTER (hit) / CAST(count(*) AS DOUBLE) AS recall
-FROM scored WHERE is_fraud GROUP BY fraud_pattern""",
-            *_QUEUE, _SCORED,
-        ),
-        "kpis": _with(
-            f"""SELECT (SELECT count(*) FROM txns) AS total_transactions, (SELECT count(*) FROM summary) AS flagged_transactions,
-       (SELECT count(*) FROM summary) / CAST((SELECT count(*) FROM txns) AS DOUBLE) AS flag_rate,
-       (SELECT count(*) FROM cents WHERE {_TILTED}) AS agent_imbalance_alerts""",
-            *_QUEUE, _CENTS,
-        ),
-        "alert_queue_top200": _with(
-            """SELECT transaction_id, txn_timestamp, customer_id, txn_type, amount, region, rules_tripped, fraud_patterns
-FROM summary ORDER BY rules_tripped DESC, transaction_id LIMIT 200""",
-            *_QUEUE,
-        ),
-        "alerts_by_rule": _with("SELECT fraud_pattern, count(*) AS alert_count FROM flags GROUP BY fraud_pattern", *_RULES),
+        **_dashboard(_RULES_EXACT, _QUEUE_EXACT, "rules_tripped DESC"),
+        **_dashboard(_RULES, _QUEUE, "rules_tripped DESC, max_severity_rank DESC", "_all_rules"),
         "daily_volume_by_type": _with("SELECT txn_date, txn_type, count(*) AS txn_count FROM txns GROUP BY ALL"),
         "value_by_region": _with("SELECT region, CAST(sum(amount) AS DOUBLE) AS total_amount FROM txns GROUP BY region"),
         "imbalance_list": _with(_PIVOT + " ORDER BY ratio DESC NULLS LAST, agent_id, txn_date", _CENTS),

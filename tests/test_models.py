@@ -11,6 +11,7 @@ from conftest import at, rows
 from tillwatch.operators import alerts, evaluation, marts, quality, readouts, rules, staging
 from tillwatch.operators.copies import COPIES
 from tillwatch.params import AgentImbalance
+from tillwatch.plans.checks import REQUIRED
 
 RAW = (
     "transaction_id string, txn_timestamp timestamp_ntz, customer_id string, agent_id string, "
@@ -227,3 +228,25 @@ def test_quality_checks_find_one_broken_row_each(spark):
     assert rows(quality.report({("t", "id"): fine}, count_rows=True)) == [("t", "id", 0)]
     assert rows(quality.null_report({"t": (bad, ("id", "tier", "parent"))})) == [("t", "id", 2), ("t", "parent", 1), ("t", "tier", 1)]
     assert rows(quality.accepted_report({"t": (bad, {"tier": tiers})})) == [("t", "tier", 1)]
+
+
+def test_every_mandatory_column_is_listed(spark):
+    """A NULL in each mandatory column shows up among the violations."""
+    for relation, columns in REQUIRED.items():
+        data = [tuple(None if i == j else "x" for j in range(len(columns))) for i in range(len(columns))]
+        frame = spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))
+        found = quality.nulls(frame, relation, columns).collect()
+        assert {(r.relation, r.column_name, r.row_count) for r in found} == {(relation, c, 1) for c in columns}
+    assert quality.nulls(frame.dropna(), relation, columns).collect() == []
+
+
+def test_analyst_summary_keeps_flags_without_customer_or_transaction(spark, txns):
+    frame = txns.add("t1", "10:00:00", "gone").frame()
+    flags = spark.createDataFrame(
+        [("t1", "gone", at("10:00:00"), "velocity_cycling", "high"), ("t2", "gone", at("11:00:00"), "structuring", "medium"),
+         ("t1", "gone", at("10:00:00"), "structuring", "medium")],
+        "transaction_id string, customer_id string, txn_timestamp timestamp_ntz, fraud_pattern string, severity string",
+    )
+    out = {r.transaction_id: r for r in alerts.analyst_summary(flags, frame).collect()}
+    assert set(out) == {"t1", "t2"} and out["t1"].fraud_patterns == "structuring, velocity_cycling"
+    assert out["t2"].amount is None and out["t1"].rules_tripped == 2

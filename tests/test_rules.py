@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import at, rows
+from conftest import Transactions, at, rows
 
 from tillwatch.operators import rules
 from tillwatch.operators.copies import COPIES
@@ -249,3 +249,13 @@ def test_settings_are_checked():
     ):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_exact_gap_is_rounded_as_the_binary_value(spark):
+    """All whole-second gaps up to 45:00 (the rule's limit) against Python's round."""
+    data, start = Transactions(spark), dt.datetime(2026, 1, 1)
+    for gap in range(1, 2_701):
+        data.add(f"a{gap}", start, f"C{gap}", region="R1")
+        data.add(f"b{gap}", start + dt.timedelta(seconds=gap), f"C{gap}", region="R2")
+    found = rules.geo_impossible_flags(data.frame(), GeoImpossible(gap="exact"))
+    assert {(r.customer_id, r.rule_metric) for r in found.collect()} == {(f"C{g}", round(g / 60, 1)) for g in range(1, 2_701)}

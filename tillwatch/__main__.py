@@ -14,6 +14,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from tillwatch.functions.timekeys import utc_now
 from tillwatch.plans import checks
 from tillwatch.plans.models import Models, write_all
 from tillwatch.sources import feed as feeds
@@ -21,24 +22,42 @@ from tillwatch.sources.store import Store, as_files
 
 
 def read_feed(spark: SparkSession, folder: str, read_partitions: int | None = None) -> feeds.Feed:
-    folder = folder.rstrip("/")
+    """The feed's tables, all with one load time."""
+    folder, now = folder.rstrip("/"), utc_now()
     return feeds.Feed(
-        feeds.read_agents(spark, f"{folder}/agents.csv"),
-        feeds.read_customers(spark, f"{folder}/customers.csv"),
-        feeds.read_transactions(spark, f"{folder}/transactions.csv.gz", partitions=read_partitions),
+        feeds.read_agents(spark, f"{folder}/agents.csv", now),
+        feeds.read_customers(spark, f"{folder}/customers.csv", now),
+        feeds.read_transactions(spark, f"{folder}/transactions.csv.gz", now, read_partitions),
         feeds.read_ground_truth(spark, f"{folder}/fraud_ground_truth.csv.gz"),
     )
 
 
+def landed(feed: feeds.Feed, store: Store) -> feeds.Feed:
+    """The feed as Parquet: its files are read once, however many rules and checks read the tables."""
+
+    def land(df, name):
+        return None if df is None else store.keep(df, f"raw_{name}")
+
+    return feeds.Feed(
+        land(feed.agents, "agents"),
+        land(feed.customers, "customers"),
+        land(feed.transactions, "transactions"),
+        land(feed.ground_truth, "ground_truth"),
+    )
+
+
 def run(
     spark: SparkSession, feed_folder: str, out: str, as_of: dt.date | None = None, read_partitions: int | None = None
 ) -> dict:
     store = Store(spark)
-    models = Models(read_feed(spark, feed_folder, read_partitions), as_of=as_of, store=store)
-    written = write_all(models, out)
-    written["dq_violations"] = as_files(checks.violations(models), f"{out.rstrip('/')}/dq_violations")
-    store.clear()
-    return written
+    try:
+        feed = landed(read_feed(spark, feed_folder, read_partitions), store)
+        models = Models(feed, as_of=as_of, store=store)
+        written = write_all(models, out)
+        written["dq_violations"] = as_files(checks.violations(models), f"{out.rstrip('/')}/dq_violations")
+        return written
+    finally:
+        store.clear()
 
 
 if __name__ == "__main__":

@@ -6,6 +6,8 @@ session time zone, which moves the wall-clock hour that daylight saving skips.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,8 @@ def floor_div(value: Column, unit: int) -> Column:
 def slice_start(tick: Column, width: int) -> Column:
     """Start of the `width`-wide slice of the number line that holds `tick`."""
     return tick - F.pmod(tick, F.lit(width))
+
+
+def utc_now() -> dt.datetime:
+    """The clock of the driver, so that no session's zone matters and a plan has one time throughout."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

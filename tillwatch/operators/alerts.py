@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.grading import severity_name, severity_rank
+from tillwatch.functions.timekeys import utc_now
 from tillwatch.operators.copies import COPIES, repeat_rows
 
 ALERT = ["transaction_id", "customer_id", "txn_timestamp", "fraud_pattern", "severity"]
@@ -50,11 +51,7 @@ def fraud_alerts(
     """Flags with the transaction and customer they concern, open for review."""
     if dedupe:
         flags = one_per_rule(flags)
-    created = (
-        F.localtimestamp()
-        if alert_created_at is None
-        else F.lit(alert_created_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    )
+    created = F.lit((alert_created_at or utc_now()).isoformat(sep=" ")).cast("timestamp_ntz")
     about = txns.select("transaction_id", "txn_type", "amount", "region", "agent_id")
     who = customers.select("customer_id", "kyc_tier", "account_age_days")
     alerts = (
@@ -76,6 +73,54 @@ def fraud_alerts(
     return repeat_rows(alerts) if every_copy else alerts
 
 
+def per_transaction(flags: DataFrame) -> DataFrame:
+    """One row per flagged transaction: customer, time, the rules it tripped, the worst severity."""
+    return (
+        flags.groupBy("transaction_id", "customer_id", "txn_timestamp")
+        .agg(
+            F.sort_array(F.collect_set("fraud_pattern")).alias("patterns"),
+            F.max(severity_rank(F.col("severity"))).alias("max_severity_rank"),
+        )
+        .withColumn("rules_tripped", F.size("patterns").cast("long"))
+        .withColumn("fraud_patterns", F.concat_ws(", ", "patterns"))
+        .drop("patterns")
+    )
+
+
+def alert_summary(flags: DataFrame, txns: DataFrame, customers: DataFrame) -> DataFrame:
+    """What `fraud_alert_summary` makes of the alerts, straight from the flags.
+
+    The flags are collapsed before the joins: fewer and narrower rows are joined, and as nothing
+    aggregates behind the join with the customers, Spark can split a busy one.
+    """
+    about = txns.select("transaction_id", "txn_type", "amount", "region")
+    who = customers.select("customer_id", "kyc_tier")
+    return (
+        per_transaction(flags)
+        .join(about, "transaction_id")
+        .join(who, "customer_id")
+        .select(
+            "transaction_id", "customer_id", "txn_timestamp", "txn_type", "amount", "region", "kyc_tier",
+            "rules_tripped", "fraud_patterns", "max_severity_rank",
+            severity_name(F.col("max_severity_rank")).alias("max_severity"),
+            F.lit("open").alias("review_status"),
+        )
+    )
+
+
+def analyst_summary(flags: DataFrame, txns: DataFrame) -> DataFrame:
+    """The analyst's summary: flags keep their row even if their transaction or customer is missing."""
+    about = txns.select("transaction_id", "txn_type", "amount", "region")
+    return (
+        per_transaction(flags)
+        .join(about, "transaction_id", "left")
+        .select(
+            "transaction_id", "txn_timestamp", "customer_id", "txn_type", "amount", "region",
+            "rules_tripped", "fraud_patterns",
+        )
+    )
+
+
 def fraud_alert_summary(alerts: DataFrame) -> DataFrame:
     """One row per flagged transaction. Takes alerts with or without their copies written out.
 

@@ -69,6 +69,22 @@ def report(checks: Mapping[tuple[str, str], DataFrame], count_rows: bool = False
     return reduce(DataFrame.unionByName, lines)
 
 
+def nulls(df: DataFrame, relation: str, columns: Iterable[str]) -> DataFrame:
+    """A line for each of the columns that holds NULLs, from one scan."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return (
+        counts.unpivot([], list(columns), "column_name", "row_count")
+        .where("row_count > 0")
+        .select(
+            F.lit("not_null").alias("check_name"),
+            F.lit(relation).alias("relation"),
+            "column_name",
+            F.lit(None).cast("string").alias("offending_value"),
+            "row_count",
+        )
+    )
+
+
 def null_report(relations: Mapping[str, tuple[DataFrame, Iterable[str]]]) -> DataFrame:
     """NULLs per column, all columns of a relation in one scan."""
     return _one_scan_report(relations, lambda c: F.col(c).isNull())

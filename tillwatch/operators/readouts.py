@@ -21,14 +21,15 @@ def headline_kpis(txns: DataFrame, summary: DataFrame, agent_day_flags: DataFram
 
 
 def alert_queue(summary: DataFrame, rows: int = 200) -> DataFrame:
-    """The top of the review queue."""
+    """The top of the review queue: most rules first, then the worst severity where the summary has it."""
+    worst = [F.desc("max_severity_rank")] if "max_severity_rank" in summary.columns else []
     return (
-        summary.select(
+        summary.orderBy(F.desc("rules_tripped"), *worst, "transaction_id")
+        .limit(rows)
+        .select(
             "transaction_id", "txn_timestamp", "customer_id", "txn_type", "amount", "region",
             "rules_tripped", "fraud_patterns",
         )
-        .orderBy(F.desc("rules_tripped"), "transaction_id")
-        .limit(rows)
     )
 
 

@@ -74,6 +74,9 @@ def near_limit_transfers(txns: DataFrame, customers: DataFrame, near_limit: Deci
         .join(customers.select("customer_id", "kyc_tier"), "customer_id")
         .withColumn("single_limit", single_limit(F.col("kyc_tier")))
         .where((amount >= limit * F.lit(near_limit)) & (amount <= limit))
+        # Else what aggregates by customer and second takes the join's partitions as they are, and
+        # Spark may not split those of a busy customer.
+        .repartition("customer_id", "txn_timestamp")
     )
 
 
@@ -271,7 +274,8 @@ def geo_impossible_flags(
     found = _next_elsewhere(groups, tie, ties_count=exact, reach=longest // MICROS + 1)
     gap = F.col("found_at") - F.col("at")
     if exact:
-        metric = F.round(gap / F.lit(minute), 1)
+        # Rounds the binary value, halves to even; F.round rounds the decimal text's halves up.
+        metric = F.call_function("format_number", gap / F.lit(minute), F.lit("0.0")).cast("double")
         severity = F.when(gap * 2 <= rule.max_minutes * minute, "high").otherwise("medium")
     else:
         minutes = floor_div(gap, minute)

@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwatch.functions.timekeys import utc_now
+
 
 def _days_until(as_of: dt.date | None, since: str) -> Column:
-    day = F.current_date() if as_of is None else F.lit(as_of)
+    day = F.lit(as_of or utc_now().date())
     return F.datediff(day, F.col(since))
 
 

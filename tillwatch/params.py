@@ -47,6 +47,11 @@ class AgentImbalance:
     # What an agent-day without any cash-in is graded: None keeps it NULL.
     zero_cash_in_severity: str | None = None
 
+    def __post_init__(self):
+        if self.ratio <= 0:
+            raise ValueError(f"ratio must be positive, got {self.ratio}")
+        _one_of("zero_cash_in_severity", self.zero_cash_in_severity, (None, "high", "medium"))
+
 
 @dataclass(frozen=True)
 class GeoImpossible:

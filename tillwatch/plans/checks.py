@@ -95,8 +95,7 @@ def violations(models: Models) -> DataFrame:
     tables = relations(models)
     return quality.violations(
         *_not_unique(tables).values(),
-        *[quality.is_null(df, r, KEYS[r]) for r, df in tables.items()],
-        quality.is_null(tables["stg_transactions"], "stg_transactions", "amount"),
+        *[quality.nulls(df, r, REQUIRED[r]) for r, df in tables.items()],
         *[quality.not_accepted(tables[r], r, c, values) for (r, c), values in ACCEPTED.items()],
         *_orphans(tables).values(),
     )

@@ -10,6 +10,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tillwatch.operators import alerts, evaluation, marts, rules, staging
@@ -110,9 +111,10 @@ class Models:
         if self.store:
             # Some of them write down what they find on the way. These jobs wait for nothing but
             # the staged tables, so they run side by side.
-            self.stg_transactions, self.stg_customers
+            self.stg_customers
+            inherit = inheritable_thread_target(self.stg_transactions.sparkSession)
             with ThreadPoolExecutor(len(by_rule)) as pool:
-                union = alerts.all_flags(*pool.map(partial(getattr, self), by_rule))
+                union = alerts.all_flags(*pool.map(inherit(partial(getattr, self)), by_rule))
         else:
             union = alerts.all_flags(*[getattr(self, name) for name in by_rule])
         return self._kept(union, "flags")
@@ -132,7 +134,7 @@ class Models:
 
     @cached_property
     def fraud_alert_summary(self) -> DataFrame:
-        return alerts.fraud_alert_summary(self._alerts(every_copy=False))
+        return alerts.alert_summary(self.flags, self.stg_transactions, self.stg_customers)
 
     @cached_property
     def kept_summary(self) -> DataFrame:

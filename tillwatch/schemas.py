@@ -45,25 +45,13 @@ GROUND_TRUTH = _struct(
     ("fraud_pattern", T.StringType()),
 )
 
-LABELLED_FEED = T.StructType(
-    FEED_TRANSACTIONS.fields + [f for f in GROUND_TRUTH.fields if f.name != "transaction_id"]
-)
-
 # Fixed values.
 TXN_TYPES = ("cash_in", "cash_out", "p2p_transfer", "bill_pay", "airtime_topup")
 CASH_TYPES = ("cash_in", "cash_out")
 KYC_SINGLE_LIMITS = {"tier_1": 1_000, "tier_2": 10_000, "tier_3": 100_000}
-KYC_DAILY_LIMITS = {"tier_1": 5_000, "tier_2": 50_000, "tier_3": 500_000}
 SEVERITY_RANK = {"high": 2, "medium": 1}
-REVIEW_STATUSES = ("open", "confirmed_fraud", "false_positive")
 
-# Columns the raw tables declare as mandatory, and their primary keys.
-PRIMARY_KEYS = {
-    "agents": "agent_id",
-    "customers": "customer_id",
-    "transactions": "transaction_id",
-    "fraud_ground_truth": "transaction_id",
-}
+# Columns the raw tables declare as mandatory.
 REQUIRED = {
     "agents": ("agent_id", "agent_name", "region", "tier", "registration_date",
                "opening_cash_float", "loaded_at"),

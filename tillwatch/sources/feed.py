@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwatch import schemas
+from tillwatch.functions.timekeys import utc_now
 
 
 @dataclass(frozen=True)
@@ -29,13 +30,9 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def stamp_load_time(df: DataFrame, loaded_at: dt.datetime | None = None) -> DataFrame:
-    """Add loaded_at, which the feed does not carry."""
-    stamp = (
-        F.localtimestamp()
-        if loaded_at is None
-        else F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    )
-    return df.withColumn("loaded_at", stamp)
+    """Add loaded_at, which the feed does not carry; by default the time in UTC, taken now."""
+    stamp = (loaded_at or utc_now()).isoformat(sep=" ")
+    return df.withColumn("loaded_at", F.lit(stamp).cast("timestamp_ntz"))
 
 
 def read_agents(spark: SparkSession, path: str, loaded_at: dt.datetime | None = None) -> DataFrame:
@@ -78,4 +75,6 @@ def split_labels(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def in_time_order(df: DataFrame, ts: str = "txn_timestamp") -> DataFrame:
-    return df.orderBy(ts, "transaction_id")
+    """By time and id; deliveries of one id by load time and a hash of the row."""
+    last = [F.col("loaded_at")] if "loaded_at" in df.columns else []
+    return df.orderBy(ts, "transaction_id", *last, F.xxhash64(*df.columns))
