@@ -380,6 +380,17 @@ def statements() -> dict[str, str]:
         "stg_agents": _with(f"SELECT {_AGENT} FROM agents_s"),
         "stg_customers": _with("SELECT * FROM customers_s"),
         "stg_transactions": _with(f"SELECT {_STG_TXN} FROM txns"),
+        "load_agents": _with(
+            "SELECT * REPLACE (CAST(opening_cash_float AS DOUBLE) AS opening_cash_float, "
+            "TIMESTAMP '2024-02-01 00:00:00' AS loaded_at) FROM raw_agents"
+        ),
+        "load_customers": _with("SELECT * REPLACE (TIMESTAMP '2024-02-01 00:00:00' AS loaded_at) FROM raw_customers"),
+        "load_transactions": _with(
+            "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at) "
+            "FROM raw_transactions"
+        ),
+        "load_ground_truth": _with("SELECT * FROM truth"),
+        "stg_agents_view": _with(f"SELECT {_AGENT} FROM agents_s"),
         "label_split_feed": _with(
             "SELECT transaction_id, txn_timestamp, customer_id, agent_id, counterparty_customer_id, txn_type, "
             "CAST(amount AS DOUBLE) AS amount, region FROM labelled"
