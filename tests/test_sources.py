@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import gzip
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -148,11 +149,29 @@ def test_write_all(spark, folder, tmp_path):
 def test_run_over_a_folder(spark, folder, tmp_path):
     (folder / "fraud_ground_truth.csv.gz").unlink()
     written = run(spark, str(folder), str(tmp_path / "out"), as_of=dt.date(2026, 3, 1), read_partitions=2)
-    assert set(written) == {*TABLES, "fct_transactions", "dq_violations"}
+    readouts = {"kpis", "alert_queue", "alerts_by_rule", "daily_volume_by_type", "value_by_region", "imbalance_list", "busiest_agents"}
+    assert set(written) == {*TABLES, "fct_transactions", "dq_violations", *readouts}
+    assert written["kpis"].first()["total_transactions"] == 2
     assert written["dim_customers"].count() == 2
     assert written["dq_violations"].count() == 0
 
 
+def test_run_reads_out_labels(spark, folder, tmp_path):
+    written = run(spark, str(folder), str(tmp_path / "out"), as_of=dt.date(2026, 3, 1))
+    assert rows(written["recall_by_pattern"]) == [("cycling", 1, 0, 0.0)]
+    assert rows(written["validation_metrics"]) == [(0.0, 0.0, 0)]
+
+
+def test_a_failed_run_leaves_nothing_behind(spark, folder, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "tillwatch"
+    before = {p for p in shared.glob("raw_*")}
+    with gzip.open(folder / "transactions.csv.gz", "wt") as out:
+        out.write(FEED + "TXN_3,not a time,CUS0000001,,,bill_pay,1.00,North\n")
+    with pytest.raises(Exception, match="(?i)malformed|cast|parse"):
+        run(spark, str(folder), str(tmp_path / "out"))
+    assert {p for p in shared.glob("raw_*")} == before
+
+
 def test_models_without_labels(spark, folder):
     feed = read(spark, folder)
     unlabelled = Models(Feed(feed.agents, feed.customers, feed.transactions))

@@ -3,8 +3,8 @@
     python -m tillwatch FEED OUT [--as-of 2026-03-01] [--read-partitions 400]
 
 FEED holds agents.csv, customers.csv, transactions.csv.gz and, for scoring, fraud_ground_truth.csv.gz.
-Every rule and mart is written to OUT as Parquet, and the offending values of the data-quality
-checks to OUT/dq_violations.
+Every rule and mart is written to OUT as Parquet, the read-outs to OUT/readouts, and the offending
+values of the data-quality checks to OUT/dq_violations.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from tillwatch.functions.timekeys import utc_now
 from tillwatch.plans import checks
-from tillwatch.plans.models import Models, write_all
+from tillwatch.plans.models import Models, write_all, write_readouts
 from tillwatch.sources import feed as feeds
 from tillwatch.sources.store import Store, as_files
 
@@ -54,6 +54,7 @@ def run(
         feed = landed(read_feed(spark, feed_folder, read_partitions), store)
         models = Models(feed, as_of=as_of, store=store)
         written = write_all(models, out)
+        written |= write_readouts(models, written, out)
         written["dq_violations"] = as_files(checks.violations(models), f"{out.rstrip('/')}/dq_violations")
         return written
     finally:

@@ -13,7 +13,7 @@ from functools import cached_property, partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from tillwatch.operators import alerts, evaluation, marts, rules, staging
+from tillwatch.operators import alerts, evaluation, marts, readouts, rules, staging
 from tillwatch.operators.copies import repeat_rows
 from tillwatch.params import RuleSettings
 from tillwatch.sources.feed import Feed
@@ -207,3 +207,23 @@ def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
             f"{folder}/fraud_rule_evaluation",
         )
     return written
+
+
+def write_readouts(models: Models, written: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Write the analyst's read-outs over what `write_all` has written; return them as read back."""
+    txns, summary, truth = models.stg_transactions, written["fraud_alert_summary"], models.feed.ground_truth
+    found = {
+        "kpis": readouts.headline_kpis(txns, summary, models.fr_agent_imbalance_pivot),
+        "alert_queue": readouts.alert_queue(summary),
+        "alerts_by_rule": readouts.alerts_by_rule(written["fraud_alerts"]),
+        "daily_volume_by_type": readouts.daily_volume_by_type(txns),
+        "value_by_region": readouts.value_by_region(txns),
+        "imbalance_list": readouts.imbalance_list(models.fr_agent_imbalance_pivot),
+        "busiest_agents": readouts.busiest_agents(txns),
+    }
+    if truth is not None:
+        zero = evaluation.rule_evaluation(truth, summary, zero_for_undefined=True)
+        found["validation_metrics"] = readouts.validation_metrics(zero)
+        found["recall_by_pattern"] = evaluation.recall_by_pattern(truth, summary)
+    folder = folder.rstrip("/")
+    return {name: as_files(df, f"{folder}/readouts/{name}") for name, df in found.items()}
