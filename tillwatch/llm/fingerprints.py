@@ -188,15 +188,17 @@ def _compare(samples: int):
 def fingerprint_with_next(documents: DataFrame, samples: int = SAMPLES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness (the columns of _ROWS).
 
-    Rows are dealt into buckets, ranges of doc_id. The first row of a bucket is dealt to the one before
-    it too, where it ends the row of texts, so one shuffle brings every text beside its next one.
+    Rows are dealt into buckets, ranges of doc_id, at most one for each shuffle partition. The first row of
+    a bucket is dealt to the one before it too, where it ends the row of texts, so one shuffle brings every
+    text beside its next one. The driver sees a range and a first id per bucket.
     """
     spark = documents.sparkSession
     importable(spark)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
     known = ids.where("doc_id is not null")
-    buckets = -(-known.count() // bucket_rows)
+    buckets = min(-(-known.count() // bucket_rows), partitions)
     cuts = [i / buckets for i in range(1, buckets)]
     edges = np.unique(known.approxQuantile("doc_id", cuts, 0.1 / buckets)) if cuts else np.zeros(0)
 
@@ -215,12 +217,11 @@ def fingerprint_with_next(documents: DataFrame, samples: int = SAMPLES, bucket_r
     is_first = F.col("at.doc_id").eqNullSafe(F.col("first_id")) & (F.col("at.text_hash") == F.col("first_hash"))
     own = F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ends")))
     too = F.array(F.struct(F.col("before").alias("bucket"), F.lit(True).alias("ends")))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
         placed.join(F.broadcast(ends), is_first, "left")
         .withColumn("to", F.explode(F.when(F.col("before").isNull(), own).otherwise(F.concat(own, too))))
         .select("to.bucket", "to.ends", "at", "text")
-        .repartition(partitions, "bucket")
+        .repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int"))
         .sortWithinPartitions("bucket", "ends", "at")
         .select("bucket", F.col("at.doc_id").alias("doc_id"), "text", "ends")
     )
