@@ -4,7 +4,8 @@ The vocabulary is a file of ranks (base64 of a token's bytes, and its number). T
 works on characters, so each byte is mapped to a printable one; every split of a token into two tokens
 is a merge, in the order of the ranks. Texts are cut by a pattern, and each piece is encoded by
 itself. The pattern never looks past a single space between two words, so a text is first cut there;
-such words repeat a lot, and a worker remembers the last ones (at most `REMEMBERED`).
+such words repeat a lot, and a worker remembers the last ones (at most `REMEMBERED`, and of them
+and their pieces about `REMEMBERED_CHARS` characters).
 
 The library breaks ties between two ways of forming the same token by the order of its merges, rank
 files by the position in the text. That matters only where parts x, y, z stand in a row and xy = yz
@@ -43,6 +44,7 @@ from tillwatch.llm.common import arrow_rows, map_arrow, text_of
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 REMEMBERED = 400_000
+REMEMBERED_CHARS = 16 * REMEMBERED
 STEP = REMEMBERED // 4
 _GAP = re.compile(r"\s ").search
 
@@ -90,6 +92,7 @@ class Codec:
         self.digits = {rank: str(rank) for rank in self.bytes_of}
         self.known: dict[str, bytes] = {}  # ids of pieces, as the bytes of an array
         self.spaced: dict[str, bytes] = {}  # ids of words after a space
+        self.known_chars = self.spaced_chars = 0
         self.ties = self._ties()
         self.library = self._library()
 
@@ -169,9 +172,12 @@ class Codec:
         for i in range(0, len(cut), STEP):
             step = cut[i : i + STEP]
             needed = set(chain.from_iterable(step))
-            if len(self.known) + len(needed) > REMEMBERED:
+            if len(self.known) + len(needed) > REMEMBERED or self.known_chars > REMEMBERED_CHARS:
                 self.known.clear()
-            self._learn([p for p in needed if p not in self.known])
+                self.known_chars = 0
+            new = [p for p in needed if p not in self.known]
+            self.known_chars += sum(map(len, new))
+            self._learn(new)
             for pieces in step:
                 yield b"".join(map(self.known.__getitem__, pieces))
 
@@ -182,9 +188,11 @@ class Codec:
             step = words[i : i + STEP]
             needed = set(step)
             if not needed <= self.spaced.keys():
-                if len(self.spaced) + len(needed) > REMEMBERED:
+                if len(self.spaced) + len(needed) > REMEMBERED or self.spaced_chars > REMEMBERED_CHARS:
                     self.spaced.clear()
+                    self.spaced_chars = 0
                 new = [w for w in needed if w not in self.spaced]
+                self.spaced_chars += sum(map(len, new))
                 self.spaced.update(zip(new, self._encode_pieces([f" {w}" for w in new]), strict=True))
             found += map(self.spaced.__getitem__, step)
         return array("i", b"".join(found)).tolist()
