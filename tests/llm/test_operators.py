@@ -98,6 +98,15 @@ def test_bpe_offsets_and_decode(docs):
     assert {r.doc_id: bytes(r.decoded).decode() for r in byte_bpe.decode(encoded).collect()} == texts
 
 
+def test_bpe_forgets_and_encodes_alike(reference_encoding, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_CHARS", 40)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN)
+    for i in range(20):
+        text = f"some words{i} here  and{i} {'long' * i}\n{i * 7} x"
+        assert own.encode(text) == reference_encoding.encode_ordinary(text)
+        assert own.known_chars <= 40 + len(text) and own.spaced_chars <= 40 + len(text)
+
+
 # --- 2 --------------------------------------------------------------------------------------
 
 
@@ -129,6 +138,18 @@ def test_toxicity_is_learnt_and_tolerates_gaps():
         toxicity.values_by_text([toxicity.sentences(t) for t in ("mi scroxundel no", "mi cobafu no")], model.table())
     )
     assert close > 0.3 > clean
+    for insult in ("s.c.r.o.u.n.d.e.l", "s c r o u n d e l", "S-C-R-O-U-N-D-E-L", "w_r_e_t_c_h"):
+        found = model.score(toxicity.values_by_text([toxicity.sentences(f"mi cobafu {insult} no")], model.table()))
+        assert found[0] > 0.3, insult
+
+
+def test_letters_set_apart_are_closed_up():
+    assert toxicity.sentences("mi w.r.e.t.c.h no") == [" mi wretch no"]
+    assert toxicity.sentences("a b c") == [" a b c"]  # too few to be a word
+    assert toxicity.sentences("1 2 3 4 5") == [" 1 2 3 4 5"]
+    assert toxicity.sentences("x a.b c.d y") == [" x a.b c.d y"]  # different signs
+    assert toxicity.sentences("a " * (toxicity.SET_APART_MOST + 1)) == [" a"]  # too many
+    assert toxicity.sentences("w\nr\ne\nt") == [" w", " r", " e", " t"]
 
 
 def test_table_scores_as_the_kernel_does():
@@ -294,6 +315,8 @@ def test_fingerprints(docs, no_docs):
         assert r.fingerprint == fingerprints._hex(own)
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     assert fingerprints.fingerprint_with_next(no_docs).collect() == []
+    whole = fingerprints.fingerprint_with_next(docs, bucket_rows=100).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, out))  # however many buckets
     assert fingerprints.fingerprint_with_next(docs.where("doc_id = 6")).collect()[0].near_next == 1.0
 
 

@@ -59,6 +59,9 @@ THRESHOLD = 0.3
 #: Sentences end here; longer ones are cut by words.
 SENTENCE_END = re.compile(r"[.!?]+(?=\s|$)|[\n\r]+")
 SENTENCE_CHARS = 160
+#: Four or more letters with the same sign or blank between them, and how many of them may be one word.
+SET_APART = re.compile(r"(?<![^\W_])[^\W\d_]([^\w\n]|_)[^\W\d_](?:\1[^\W\d_]){2,}(?![^\W_])")
+SET_APART_MOST = 24
 #: Added to a sentence's length before the root, so that very short ones don't stand out by chance.
 PLAIN_CHARS = 24
 BATCH_CHARS = 1 << 17
@@ -68,15 +71,21 @@ GAPS = [(0, *rest) for rest in combinations(range(1, SPAN), LENGTH - 1)]
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
+def _closed(run: re.Match) -> str:
+    letters = run[0][::2]
+    return letters if len(letters) <= SET_APART_MOST else run[0]
+
+
 def sentences(text: str) -> list[str]:
     """The lower-cased sentences, each with every different word once, cut at about SENTENCE_CHARS.
 
     They start with a space, so that every word does; how a word begins can be told from what it holds.
 
-    A word said again and again says no more than once, but would add up in the kernel.
+    A word said again and again says no more than once, but would add up in the kernel. A word whose letters are
+    all set apart is closed up first, as its span would exceed the kernel's.
     """
     out = []
-    for sentence in SENTENCE_END.split(text.lower()):
+    for sentence in SENTENCE_END.split(SET_APART.sub(_closed, text.lower())):
         words = " ".join(dict.fromkeys(sentence.split()))
         while len(words) > SENTENCE_CHARS:
             cut = words.find(" ", SENTENCE_CHARS)
