@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tillwatch.__main__ import run
 from tillwatch.functions.timekeys import epoch_micros, epoch_seconds, from_epoch_micros
+from tillwatch.params import AgentImbalance, RuleSettings, Structuring, settings_from_json
 from tillwatch.plans.models import TABLES, Models, write_all
 from tillwatch.sources import feed as feeds
 from tillwatch.sources import store
@@ -162,6 +163,33 @@ def test_run_reads_out_labels(spark, folder, tmp_path):
     assert rows(written["validation_metrics"]) == [(0.0, 0.0, 0)]
 
 
+def test_run_over_many_files_with_other_rules(spark, folder, tmp_path):
+    (folder / "transactions.csv.gz").unlink()
+    (folder / "transactions").mkdir()
+    header, *lines = FEED.splitlines()
+    for i, line in enumerate(lines):
+        with gzip.open(folder / "transactions" / f"part-{i}.csv.gz", "wt") as out:
+            out.write(f"{header}\n{line}\n")
+    settings = settings_from_json('{"velocity": {"min_transactions": 1, "window_minutes": 5}}')
+    written = run(spark, str(folder), str(tmp_path / "out"), as_of=dt.date(2026, 3, 1), settings=settings)
+    assert written["fct_transactions"].count() == 2
+    assert written["fr_velocity_flags"].count() == 2
+
+
+def test_settings_from_json():
+    found = settings_from_json('{"agent_imbalance": {"ratio": 4}, "structuring": {"near_limit": 0.9}}')
+    assert found == RuleSettings(
+        agent_imbalance=AgentImbalance(ratio=Decimal(4)), structuring=Structuring(near_limit=Decimal("0.9"))
+    )
+    assert settings_from_json("{}") == RuleSettings()
+    with pytest.raises(ValueError, match="no such rule"):
+        settings_from_json('{"speed": {}}')
+    with pytest.raises(TypeError):
+        settings_from_json('{"velocity": {"minutes": 3}}')
+    with pytest.raises(ValueError):
+        settings_from_json('{"velocity": {"window_minutes": 0}}')
+
+
 def test_a_failed_run_leaves_nothing_behind(spark, folder, tmp_path):
     shared = Path(spark.conf.get("spark.checkpoint.dir")) / "tillwatch"
     before = {p for p in shared.glob("raw_*")}

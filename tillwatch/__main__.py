@@ -1,8 +1,10 @@
 """Run everything over one feed:
 
-    python -m tillwatch FEED OUT [--as-of 2026-03-01] [--read-partitions 400]
+    python -m tillwatch FEED OUT [--as-of 2026-03-01] [--read-partitions 400] [--rules rules.json]
 
 FEED holds agents.csv, customers.csv, transactions.csv.gz and, for scoring, fraud_ground_truth.csv.gz.
+Transactions and labels may also be many files or a folder whose names begin alike. The rules' thresholds
+come from a JSON file such as {"velocity": {"window_minutes": 10}}; what it leaves out keeps its default.
 Every rule and mart is written to OUT as Parquet, the read-outs to OUT/readouts, and the offending
 values of the data-quality checks to OUT/dq_violations.
 """
@@ -11,10 +13,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from tillwatch.functions.timekeys import utc_now
+from tillwatch.params import RuleSettings, settings_from_json
 from tillwatch.plans import checks
 from tillwatch.plans.models import Models, write_all, write_readouts
 from tillwatch.sources import feed as feeds
@@ -22,13 +26,19 @@ from tillwatch.sources.store import Store, as_files
 
 
 def read_feed(spark: SparkSession, folder: str, read_partitions: int | None = None) -> feeds.Feed:
-    """The feed's tables, all with one load time."""
+    """The feed's tables, all with one load time.
+
+    The transactions are dealt out over `read_partitions`, by default those of a shuffle; 0 leaves them as
+    the files are.
+    """
     folder, now = folder.rstrip("/"), utc_now()
+    if read_partitions is None:
+        read_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return feeds.Feed(
         feeds.read_agents(spark, f"{folder}/agents.csv", now),
         feeds.read_customers(spark, f"{folder}/customers.csv", now),
-        feeds.read_transactions(spark, f"{folder}/transactions.csv.gz", now, read_partitions),
-        feeds.read_ground_truth(spark, f"{folder}/fraud_ground_truth.csv.gz"),
+        feeds.read_transactions(spark, f"{folder}/transactions*", now, read_partitions),
+        feeds.read_ground_truth(spark, f"{folder}/fraud_ground_truth*"),
     )
 
 
@@ -47,12 +57,17 @@ def landed(feed: feeds.Feed, store: Store) -> feeds.Feed:
 
 
 def run(
-    spark: SparkSession, feed_folder: str, out: str, as_of: dt.date | None = None, read_partitions: int | None = None
+    spark: SparkSession,
+    feed_folder: str,
+    out: str,
+    as_of: dt.date | None = None,
+    read_partitions: int | None = None,
+    settings: RuleSettings | None = None,
 ) -> dict:
     store = Store(spark)
     try:
         feed = landed(read_feed(spark, feed_folder, read_partitions), store)
-        models = Models(feed, as_of=as_of, store=store)
+        models = Models(feed, settings or RuleSettings(), as_of=as_of, store=store)
         written = write_all(models, out)
         written |= write_readouts(models, written, out)
         written["dq_violations"] = as_files(checks.violations(models), f"{out.rstrip('/')}/dq_violations")
@@ -67,7 +82,9 @@ if __name__ == "__main__":
     parser.add_argument("out")
     parser.add_argument("--as-of", type=dt.date.fromisoformat)
     parser.add_argument("--read-partitions", type=int)
+    parser.add_argument("--rules", type=Path)
     args = parser.parse_args()
+    chosen = settings_from_json(args.rules.read_text()) if args.rules else None
     session = SparkSession.builder.appName("tillwatch").getOrCreate()
-    run(session, args.feed, args.out, args.as_of, args.read_partitions)
+    run(session, args.feed, args.out, args.as_of, args.read_partitions, chosen)
     session.stop()

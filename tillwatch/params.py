@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 from decimal import Decimal
 
 
@@ -83,3 +84,17 @@ class RuleSettings:
     agent_imbalance: AgentImbalance = field(default_factory=AgentImbalance)
     geo_impossible: GeoImpossible = field(default_factory=GeoImpossible)
     dormant: Dormant = field(default_factory=Dormant)
+
+
+def settings_from_json(text: str) -> RuleSettings:
+    """Settings from a JSON object of rules, each an object of its parameters."""
+    given, rules = json.loads(text, parse_float=Decimal), {f.name: f.default_factory for f in fields(RuleSettings)}
+    if unknown := sorted(set(given) - set(rules)):
+        raise ValueError(f"no such rule: {unknown}")
+
+    def typed(rule: type, name: str, value):
+        return Decimal(value) if isinstance(getattr(rule, name, None), Decimal) else value
+
+    return RuleSettings(
+        **{rule: rules[rule](**{k: typed(rules[rule], k, v) for k, v in own.items()}) for rule, own in given.items()}
+    )
