@@ -152,6 +152,54 @@ def test_letters_set_apart_are_closed_up():
     assert toxicity.sentences("w\nr\ne\nt") == [" w", " r", " e", " t"]
 
 
+def test_every_word_of_a_sentence_is_scored():
+    assert toxicity.sentences("i saw that you are an i diot") == [" i saw that you are an i diot"]
+    assert toxicity.sentences("i  d  i  o  t") == [" i d i o t"]
+    letters = "abcdefghij" * 60
+    parts = toxicity.sentences(" ".join(letters))  # closed up, however long
+    assert len(parts) > 1 and {x[i : i + toxicity.SPAN] for x in parts for i in range(len(x))} >= {
+        letters[i : i + toxicity.SPAN] for i in range(len(letters) - toxicity.SPAN + 1)
+    }
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=rng.choice([2, 3, 5, 8, 400]))) for _ in range(2_000)]
+    parts = toxicity.sentences(" ".join(words))
+    whole = f" {' '.join(words)}"
+    at = 0
+    for part in parts:  # the parts stand in the text one after the other and overlap by all that a span may need
+        found = whole.find(part)
+        assert 0 <= found <= max(0, at - toxicity.SPAN + 1) and len(part) <= 2 * toxicity.SENTENCE_CHARS
+        at = found + len(part)
+    assert at == len(whole)
+
+
+def test_repeated_words_count_once():
+    table = np.random.default_rng(3).random(toxicity.TABLE).astype(np.float32)
+
+    def own(text):
+        return toxicity.sentence_values([text], table)[0]
+
+    [bag] = toxicity.features([" wretch no wretch"])
+    once, crossing = toxicity.features([" wretch", " wretch no wretc"])
+    assert sum(bag.values()) < sum(crossing.values()) + 1e-9
+    assert all(bag.get(k, 0) >= v - 1e-9 for k, v in once.items())
+    assert own(" wretch no") > 0 and toxicity.sentence_values([" no", " wretch wretch", " wretch"], table)[1] == pytest.approx(
+        own(" wretch wretch"), rel=1e-5
+    )
+    _, _, again = toxicity._codes([" i d i", " wretch a wretch", "wretch a wretch b wretch"])
+    assert np.flatnonzero(again).tolist() == [*range(15, 22), *range(39, 46)]  # not where the space is new
+    few, many = (int((toxicity._codes([" no" * n])[2] == 0).sum()) for n in (4, 300))
+    assert few == many  # a longer row of the same adds nothing
+
+
+def test_insults_count_wherever_they_stand():
+    rng = random.Random(5)
+    model = toxicity.train(*_labelled(400, rng))
+    plain = " ".join(["mi cobafu no", "hegalu dico", "peno"] * 900)
+    texts = [f"{plain} s.c.r.o.u.n.d.e.l {plain}", f"{plain} {'o ' * 30}{' '.join('scroundel' * 4)} {plain}", plain]
+    found = model.score(toxicity.values_by_text([toxicity.sentences(t) for t in texts], model.table()))
+    assert found[0] > 0.3 and found[1] > 0.3 > found[2]
+
+
 def test_table_scores_as_the_kernel_does():
     """The collapsed weights against subsequences counted one by one."""
     words = [" wretch", " scroundel"]

@@ -14,7 +14,9 @@ As whitening and the machine are linear, the machine is one weight per subsequen
 sum over its places and gaps: no landmark is compared again. Subsequences are hashed to `TABLE` numbers.
 
 The only thing that is bounded is the fit: at most `MAX_DOCUMENTS` labelled documents of each class, the
-first by a hash of the id. Every text is scored whole.
+first by a hash of the id. Every text is scored whole: no word is left out, and long sentences are cut into parts
+that overlap by as much as a subsequence may span. What is said again and again in a part says no more than once but
+would add up, so a repeated word of `LENGTH` letters or more only adds what it forms with new neighbours.
 
 Nulls: a null or empty text has no sentence and scores as a sentence without any known subsequence; labels
 that are null, or of documents that are not there, are not learnt from. Repeated rows give repeated rows; of
@@ -56,10 +58,10 @@ TABLE_BITS = 20
 TABLE = 1 << TABLE_BITS
 ROUNDS = 4
 THRESHOLD = 0.3
-#: Sentences end here; longer ones are cut by words.
+#: Sentences end here; longer ones are cut, between words if these are not as long themselves.
 SENTENCE_END = re.compile(r"[.!?]+(?=\s|$)|[\n\r]+")
 SENTENCE_CHARS = 160
-#: Four or more letters with the same sign or blank between them, and how many of them may be one word.
+#: Four or more letters with the same sign or blank between them, and how often one letter alone may be a word.
 SET_APART = re.compile(r"(?<![^\W_])[^\W\d_]([^\w\n]|_)[^\W\d_](?:\1[^\W\d_]){2,}(?![^\W_])")
 SET_APART_MOST = 24
 #: Added to a sentence's length before the root, so that very short ones don't stand out by chance.
@@ -73,42 +75,92 @@ _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uin
 
 def _closed(run: re.Match) -> str:
     letters = run[0][::2]
-    return letters if len(letters) <= SET_APART_MOST else run[0]
+    return letters[0] if len(letters) > SET_APART_MOST and len(set(letters)) == 1 else letters
+
+
+def _parts(sentence: str) -> Iterator[str]:
+    """Parts of about SENTENCE_CHARS; whatever spans at most SPAN characters stands whole in one of them."""
+    start = 0
+    while len(sentence) - start > SENTENCE_CHARS + 1:
+        cut = sentence.find(" ", start + SENTENCE_CHARS + 1, start + 2 * SENTENCE_CHARS)
+        if cut < 0:
+            if len(sentence) - start <= 2 * SENTENCE_CHARS:
+                break
+            cut = start + SENTENCE_CHARS
+        yield sentence[start:cut]
+        reach = cut - SPAN + 1
+        word = sentence.rfind(" ", cut - SENTENCE_CHARS // 4, reach + 1)
+        start = reach if word < 0 else word
+    yield sentence[start:]
 
 
 def sentences(text: str) -> list[str]:
-    """The lower-cased sentences, each with every different word once, cut at about SENTENCE_CHARS.
+    """The lower-cased sentences with all their words, cut at about SENTENCE_CHARS.
 
-    They start with a space, so that every word does; how a word begins can be told from what it holds.
+    They start with a space, so that every word does; how a word begins can be told from what it holds. Only a
+    part that begins within a very long word has none.
 
-    A word said again and again says no more than once, but would add up in the kernel. A word whose letters are
-    all set apart is closed up first, as its span would exceed the kernel's.
+    A word whose letters are all set apart is closed up first, as its span would exceed the kernel's. One letter
+    again and again is no word, and stands once.
     """
     out = []
     for sentence in SENTENCE_END.split(SET_APART.sub(_closed, text.lower())):
-        words = " ".join(dict.fromkeys(sentence.split()))
-        while len(words) > SENTENCE_CHARS:
-            cut = words.find(" ", SENTENCE_CHARS)
-            if cut < 0:
-                break
-            out.append(f" {words[:cut]}")
-            words = words[cut + 1 :]
+        words = sentence.split()
         if words:
-            out.append(f" {words}")
+            out.extend(_parts(f" {' '.join(words)}"))
     return out
 
 
-def _codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All characters, and the number of the string that each belongs to."""
+def _known(string: str) -> Iterator[tuple[int, int, int]]:
+    """First and last (exclusive) place, and up to where what begins at these places stood in the string before.
+
+    These are words of LENGTH letters or more, with the space before them. Where neighbours recur too, so does what
+    spans both: every different stretch of SPAN characters counts once.
+    """
+    words = string.split(" ")
+    if len(set(words)) == len(words):
+        return
+    seen, at = set(), 0
+    for word in words:
+        if len(word) >= LENGTH:
+            if word in seen:
+                yield at - 1, at + len(word), at + len(word)
+            elif at:
+                seen.add(word)
+        at += len(word) + 1
+    if len(set(zip(words, words[1:], strict=False))) < len(words) - 1:
+        seen.clear()
+        for i in range(len(string) - SPAN + 1):
+            stretch = string[i : i + SPAN]
+            if stretch in seen:
+                yield i, i + 1, i + SPAN
+            else:
+                seen.add(stretch)
+
+
+def _codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All characters, the number of the string that each belongs to, and up to where it repeats (or 0)."""
     chars = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
-    return chars, np.repeat(np.arange(len(strings)), [len(s) for s in strings])
+    again, first = np.zeros(len(chars), np.int64), 0
+    for s in strings:
+        for start, stop, end in _known(s):
+            again[first + start : first + stop] = first + end
+        first += len(s)
+    return chars, np.repeat(np.arange(len(strings)), [len(s) for s in strings]), again
 
 
-def _places(chars: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each way to leave gaps: the hash at each first character, where it stays in its string, the weight."""
+def _places(chars: np.ndarray, owner: np.ndarray, again: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """For each way to leave gaps: the hash at each first character, where it counts, the weight.
+
+    It counts where it stays in its string and is not all within what repeats.
+    """
     parts = [chars * m for m in _MULTIPLIERS]
     n, shift = len(chars), np.uint32(32 - TABLE_BITS)
-    inside = {last: owner[: n - last] == owner[last:] for last in range(LENGTH - 1, SPAN) if last < n}
+    inside = {
+        last: (owner[: n - last] == owner[last:]) & (again[: n - last] <= np.arange(last, n))
+        for last in range(LENGTH - 1, SPAN)
+        if last < n
+    }
     for gaps in GAPS:
         last = gaps[-1]
         if last >= n:
@@ -122,16 +174,17 @@ def _places(chars: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray,
 def features(strings: list[str]) -> list[dict[int, float]]:
     """The hashed subsequences of each (short) string with their weights."""
     out: list[dict[int, float]] = [{} for _ in strings]
-    chars, owner = _codes(strings)
-    for code, inside, weight in _places(chars, owner):
+    chars, owner, again = _codes(strings)
+    for code, inside, weight in _places(chars, owner, again):
         for i in np.flatnonzero(inside):
             bag, at = out[owner[i]], int(code[i])
             bag[at] = bag.get(at, 0.0) + weight
     return out
 
 
-def _norm(strings: list[str]) -> np.ndarray:
-    return np.sqrt(1 + np.array([len(s) for s in strings], float) / PLAIN_CHARS)
+def _norm(owner: np.ndarray, again: np.ndarray, n: int) -> np.ndarray:
+    """By the length of each of the `n` strings without what repeats."""
+    return np.sqrt(1 + np.bincount(owner, weights=again == 0, minlength=n) / PLAIN_CHARS)
 
 
 @dataclass
@@ -155,11 +208,11 @@ class Model:
 
 def sentence_values(strings: list[str], table: np.ndarray) -> np.ndarray:
     """The machine's value of each sentence, without its offset."""
-    chars, owner = _codes(strings)
+    chars, owner, again = _codes(strings)
     total = np.zeros(len(chars), np.float32)
     by_last: dict[int, np.ndarray] = {}
     masks: dict[int, tuple[np.ndarray, float]] = {}
-    for (code, inside, weight), gaps in zip(_places(chars, owner), (g for g in GAPS if g[-1] < len(chars)), strict=True):
+    for (code, inside, weight), gaps in zip(_places(chars, owner, again), (g for g in GAPS if g[-1] < len(chars)), strict=True):
         last = gaps[-1]
         if last in by_last:
             by_last[last] += table.take(code)
@@ -168,7 +221,7 @@ def sentence_values(strings: list[str], table: np.ndarray) -> np.ndarray:
     for last, sums in by_last.items():
         inside, weight = masks[last]
         total[: len(sums)] += sums * (inside * np.float32(weight))
-    return np.bincount(owner, weights=total, minlength=len(strings)) / _norm(strings)
+    return np.bincount(owner, weights=total, minlength=len(strings)) / _norm(owner, again, len(strings))
 
 
 def values_by_text(texts: list[list[str]], table: np.ndarray) -> list[np.ndarray]:
@@ -276,13 +329,13 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         out = np.zeros((len(strings), project.shape[0] + 1))
         for i in range(0, len(strings), 512):
             part = strings[i : i + 512]
-            chars, owner = _codes(part)
+            chars, owner, again = _codes(part)
             sums = np.zeros((len(part), len(at)), np.float32)
-            for code, inside, weight in _places(chars, owner):
+            for code, inside, weight in _places(chars, owner, again):
                 to = compact[code]
                 hit = np.flatnonzero(inside & (to >= 0))
                 np.add.at(sums, (owner[hit], to[hit]), np.float32(weight))
-            out[i : i + 512, :-1] = (sums @ project.T) / _norm(part)[:, None]
+            out[i : i + 512, :-1] = (sums @ project.T) / _norm(owner, again, len(part))[:, None]
         out[:, -1] = 1.0
         return out
 
