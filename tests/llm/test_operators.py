@@ -554,6 +554,21 @@ def test_licenses(spark, docs, no_docs):
     assert licenses.scan(no_docs).collect() == []
 
 
+def test_licenses_of_one_family_are_told_apart(spark):
+    notice = "This work is licensed under the GNU General Public License"
+    cases = [
+        (1, f"{notice}, version 3", {"gpl-3.0"}),
+        (2, f"{notice}, version 2", {"gpl-2.0"}),
+        (3, f"{notice}, version 1", set()),
+        (4, f"{notice}.", set()),
+        (5, f"{notice}, version 2, or at your choice {notice}, version 3", {"gpl-2.0", "gpl-3.0"}),
+        (6, "Licensed under the fine GNU General Public License version 3", {"gpl-3.0"}),
+    ]
+    out = licenses.scan(spark.createDataFrame(rows_of(*[(i, t, "a") for i, t, _ in cases]), DOCS)).collect()
+    assert {r.doc_id: set(r.labels.split(",")) - {"", "gpl"} for r in out} == {i: x for i, _, x in cases}
+    assert licenses.telling_pairs({"a b c d e f": "x", "a b c d e g": "y"}) == {"a b c d e f": [[4]], "a b c d e g": [[4]]}
+
+
 # --- 10 -------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ shortest phrases have two words) is joined by hash with the places where that pa
 templates. A hit at word p of the text and word t of a template votes for the diagonal p - t. All
 pairs of a template on one diagonal mean that the whole phrase stands there. Diagonals at most `GAP`
 apart are merged, so that a span with words added or left out still gathers its votes; a merged span
-is verified by the share of the template's pairs it holds and by its length.
+is verified by the share of the template's pairs it holds and by its length. Templates that differ in a word or
+two share most pairs, so a span must also hold one of the pairs that tell its template from each such sibling.
 
 Base templates count only where they stand word for word. The other templates give labels of their own
 where a span holds at least `COVERAGE` of them. The score is the largest share of any template, a base
@@ -72,6 +73,22 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
 
 
+def telling_pairs(templates: dict[str, str], coverage: float = COVERAGE) -> dict[str, list[list[int]]]:
+    """For each phrase and each sibling, the places of the phrase's pairs that the sibling lacks.
+
+    Siblings are templates with another label that hold enough of the phrase's pairs to be taken for it.
+    """
+    pairs = {phrase: list(zip(phrase.split(), phrase.split()[1:], strict=False)) for phrase in templates}
+    out: dict[str, list[list[int]]] = {}
+    for phrase, own in pairs.items():
+        out[phrase] = []
+        for other, others in pairs.items():
+            lacking = [at for at, pair in enumerate(own) if pair not in others]
+            if templates[other] != templates[phrase] and lacking and len(own) - len(lacking) >= coverage * len(own):
+                out[phrase].append(lacking)
+    return out
+
+
 def template_pairs(documents: DataFrame, base: dict[str, str], templates: dict[str, str]) -> DataFrame:
     """One row per template and place: the hash and words of the pair there."""
     rows = []
@@ -129,7 +146,7 @@ def scan(
         .where("votes = pairs")
         .select(*text, "label", F.lit("base").alias("kind"), "diagonal", F.lit(1.0).alias("share"))
     )
-    spans = _spans(found.where("kind = 'own'"), gap, coverage)
+    spans = _spans(found.where("kind = 'own'"), gap, coverage, telling_pairs(templates, coverage))
     per_text = (
         exact.unionByName(spans)
         .groupBy(*text)
@@ -165,8 +182,11 @@ def _listed(label: Column) -> Column:
     return F.concat_ws(",", F.sort_array(F.collect_set(label)))
 
 
-def _spans(found: DataFrame, gap: int, coverage: float) -> DataFrame:
-    """Merged diagonals of the templates that may be inexact, with their share of the template's pairs."""
+def _spans(found: DataFrame, gap: int, coverage: float, telling: dict[str, list[list[int]]]) -> DataFrame:
+    """Merged diagonals of the templates that may be inexact, with their share of the template's pairs.
+
+    A span without a pair that tells its template from a sibling has less than `coverage`.
+    """
     text = ["doc_id", "text_hash", "template", "label", "pairs"]
     by_diagonal = found.withColumn("diagonal", F.col("pos") - F.col("at"))
     in_order = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal", "pos")
@@ -175,9 +195,15 @@ def _spans(found: DataFrame, gap: int, coverage: float) -> DataFrame:
         "span", F.sum("starts").over(in_order)
     )
     spans = merged.groupBy(*text, "span").agg(
-        F.count_distinct("at").alias("votes"), F.min("diagonal").alias("diagonal"), F.min("pos").alias("first"), F.max("pos").alias("last")
+        F.collect_set("at").alias("places"), F.min("diagonal").alias("diagonal"), F.min("pos").alias("first"), F.max("pos").alias("last")
     )
+    told = F.lit(True)
+    for phrase, siblings in telling.items():
+        for lacking in siblings:
+            holds = F.arrays_overlap("places", F.array(*[F.lit(at).cast("int") for at in lacking]))
+            told = told & ((F.col("template") != f"own:{phrase}") | holds)
     # A span of the right words is about as long as the template.
     fits = F.col("last") - F.col("first") < F.col("pairs") * 2 + gap
-    share = F.when(fits, F.col("votes") / F.col("pairs")).otherwise(F.least(F.col("votes") / F.col("pairs"), F.lit(coverage / 2)))
+    votes = F.size("places") / F.col("pairs")
+    share = F.when(fits & told, votes).otherwise(F.least(votes, F.lit(coverage / 2)))
     return spans.select("doc_id", "text_hash", "label", F.lit("own").alias("kind"), "diagonal", share.alias("share"))
