@@ -1,0 +1,149 @@
+"""The Merkle manifest against trees built in one go, and the queue against sorting."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tillwatch.llm import merkle
+from tillwatch.llm.queries import QUERIES, op11_merkle
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, tree string, place int, size int, _given int"
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def leaf(doc_id, source, lang, n_chars, text):
+    return digest(*map(field, (doc_id, source, lang, n_chars, text)))
+
+
+def tree(leaves):
+    """The top, and each leaf's steps to it as (before, after)."""
+    level, above = list(leaves), [[] for _ in leaves]
+    owner = [[i] for i in range(len(leaves))]
+    while len(level) > 1:
+        for run in range(0, len(level), 3):
+            for k in range(run, min(run + 3, len(level))):
+                step = "".join(level[run:k]), "".join(level[k + 1 : run + 3])
+                for i in owner[k]:
+                    above[i].append(step)
+        owner = [sum(owner[r : r + 3], []) for r in range(0, len(level), 3)]
+        level = [digest(*level[r : r + 3]) for r in range(0, len(level), 3)]
+    return level[0], above
+
+
+def expected(rows):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text)."""
+    by_source = defaultdict(list)
+    for row in rows:
+        by_source[row[1]].append(row)
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    below = {}
+    for source in sources:
+        ordered = sorted(by_source[source], key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        below[source] = (ordered, *tree([leaf(*r) for r in ordered]))
+    root, tops = tree([below[s][1] for s in sources]) if sources else (None, [])
+    out = []
+    for source, upper in zip(sources, tops, strict=True):
+        ordered, subroot, steps = below[source]
+        for row, lower in zip(ordered, steps, strict=True):
+            changed = list(row)
+            if row[0] is not None and row[4] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                changed[4] = row[4].replace("\n", "")
+            made = leaf(*changed)
+            for before, after in lower + upper:
+                made = digest(before, made, after)
+            proof = digest(*[b + a for b, a in lower + upper])
+            out.append((row[0], leaf(*row), subroot, root, proof, made, made == root))
+    return sorted(out, key=repr)
+
+
+def tuples(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def sample(n, rng):
+    sources = [None, "", "a", "b", "é", "z", "hot", "hot", "hot", "hot"]
+    rows = []
+    for i in range(n):
+        text = rng.choice([None, "", "one\ntwo", "\n", "日本\n😀", f"text {i}", "long " * 2_000 + "\n"])
+        rows.append((rng.choice([None, i, i, i, i // 2]), rng.choice(sources), rng.choice([None, "en"]), rng.choice([None, 5]), text))
+    return rows + rows[:9] * 3
+
+
+def frame(spark, rows):
+    shown = [(i, t, lang, s, n, "x", 7, 3, 1) for i, s, lang, n, t in rows]
+    return spark.createDataFrame(shown, DOCS)
+
+
+@pytest.mark.parametrize(("n", "levels", "partitions"), [(1, 6, 1), (4, 1, 2), (170, 1, 7), (170, 2, 3), (170, 6, 1)])
+def test_digests(spark, monkeypatch, n, levels, partitions):
+    monkeypatch.setattr(merkle, "manifest", lambda d, c=None, f=merkle.manifest: f(d, c, levels))
+    rows = sample(n, random.Random(n))
+    assert tuples(merkle.checked(frame(spark, rows).repartition(partitions))) == expected(rows)
+
+
+def test_no_rows(spark):
+    assert merkle.checked(frame(spark, [])).collect() == []
+
+
+def test_paths_prove_their_leaves(spark):
+    for row in merkle.manifest(frame(spark, sample(60, random.Random(1)))).collect():
+        assert merkle.folded(row.leaf, merkle.read(row.path)) == row.root
+        assert merkle.written(merkle.read(row.path)) == row.path
+
+
+def test_one_source_and_one_leaf(spark):
+    rows = [(1, "a", "en", 3, "a\nb")]
+    ((_, only, subroot, root, proof, _, _),) = tuples(merkle.checked(frame(spark, rows)))
+    assert only == subroot == root and proof == digest("")
+
+
+def test_tampering_shows(spark):
+    rows = [(i, "a", "en", 3, "a\nb" if i % 3 else "ab") for i in range(40)]
+    for i, *_, verified in tuples(merkle.checked(frame(spark, rows))):
+        assert verified == (zlib.crc32(str(i).encode()) % 2 == 1 or i % 3 == 0)
+
+
+@pytest.mark.parametrize("held", [1, 3, 10, 1_000])
+def test_queue_spills_in_order(held):
+    rng, queue, expected_keys = random.Random(held), merkle.MessageQueue(held), []
+    for _ in range(300):
+        if expected_keys and rng.random() < 0.3:
+            assert queue.first() == min(expected_keys)
+            assert queue.take() == str(min(expected_keys))
+            expected_keys.remove(min(expected_keys))
+        else:
+            key = (rng.randint(0, 10**9), rng.randint(0, 10**9))
+            queue.send(key, str(key))
+            expected_keys.append(key)
+    while expected_keys:
+        assert queue.take() == str(min(expected_keys))
+        expected_keys.remove(min(expected_keys))
+    assert queue.first() is None
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 26, 27, 28, 100])
+def test_sweeps_with_a_spilling_queue(n):
+    leaves = [digest(str(i)) for i in range(n)]
+    top, log = merkle.forward(leaves, True, levels=9, held=4)
+    expected_top, steps = tree(leaves)
+    assert top == expected_top
+    assert [list(s.steps()) if s else [] for s in merkle.backward(log, n, None, held=4)] == steps
+
+
+def test_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(*merkle.FIELDS).collect()]
+    assert tuples(op11_merkle(spark, SF)) == expected(rows)
+    assert "op11_merkle" in QUERIES

@@ -14,11 +14,14 @@ from tillwatch.llm import (
     chat,
     fingerprints,
     licenses,
+    merkle,
     mixing,
     neighbours,
     sharding,
     simhash,
+    statements,
     toxicity,
+    url_rules,
     warc,
 )
 from tillwatch.llm.common import table
@@ -79,6 +82,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -90,6 +101,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
+    "op13_url_rules": op13_url_rules,
 }
 
 _BASE32 = " || ".join(
@@ -126,4 +139,9 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op4_warc": _WARC, "op6_chat": _CHAT}
+SQL: dict[str, str] = {
+    "op4_warc": _WARC,
+    "op6_chat": _CHAT,
+    "op11_merkle": statements.MERKLE,
+    "op13_url_rules": statements.URL_RULES,
+}
