@@ -1,0 +1,129 @@
+"""Ranked search against scoring every document for every item."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tillwatch.llm import lexical
+
+DOCS = "doc_id long, text string, lang string, n long, terms string, counts int, item int"
+ITEMS = "item_id long, text string, rank int, score int"
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def expected(docs, items, top=10):
+    bags = [(i, Counter(terms(t))) for i, t in docs]
+    lengths = [sum(b.values()) for _, b in bags]
+    n_docs, n_terms = sum(n > 0 for n in lengths), sum(lengths)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        scores = []
+        for (doc_id, bag), n in zip(bags, lengths, strict=True):
+            score = 0
+            for term in terms(text):
+                if tf := bag[term]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    m = 25 + 75 * n * n_docs // n_terms
+                    score += w * (1_000_000_000 * tf // (1000 * tf + 8 * m))
+            if score:
+                scores.append((-score, doc_id is not None, doc_id or 0, doc_id))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scores, key=lambda s: s[:3])[:top], 1)]
+    return sorted(out, key=repr)
+
+
+def found(spark, docs, items, partitions=4):
+    documents = spark.createDataFrame([(i, t, "x", 1, "y", 2, 3) for i, t in docs], DOCS).repartition(partitions)
+    given = spark.createDataFrame([(i, t, 1, 2) for i, t in items], ITEMS)
+    return sorted((tuple(r) for r in lexical.ranked(documents, given).collect()), key=repr)
+
+
+def corpus(n, rng):
+    words = [f"w{i}" for i in range(60)] + ["Été", "日本", "A1", "a1", "x_y", "k[z", "ß`q"]
+
+    def text(most):
+        return " ".join(rng.choice(words[: rng.randint(1, len(words))]) for _ in range(rng.randint(0, most)))
+
+    docs = [(i, text(40)) for i in range(n)]
+    docs += [(i, docs[3][1]) for i in range(n, n + 30)] + [docs[5]] * 4
+    docs += [(None, docs[3][1]), (None, docs[7][1]), (n + 40, None), (n + 41, ""), (n + 42, "... \n\t"), (n + 43, "w1 " * 50_000 + "w59")]
+    items = [(i, text(25)) for i in range(20)] + [(3, "w1 w1 w1"), (None, "w2"), (50, None), (51, ""), (52, "unheard of"), (53, docs[3][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize(("tree", "leaf", "most", "partitions"), [(2_048, 16, 256, 4), (32, 4, 7, 1), (5, 1, 1_000, 3)])
+def test_ranked(spark, monkeypatch, tree, leaf, most, partitions):
+    monkeypatch.setattr(lexical, "blocks", lambda items, f=lexical.blocks: f(items, most))
+    small = {"TREE": tree, "LEAF": leaf, "TREE_TERMS": 40 * tree}
+    # Tasks import the module anew, so the sizes travel with the function.
+    search = lexical._search
+
+    def sized(*args):
+        run = search(*args)
+
+        def of_size(batches):
+            for name, value in small.items():
+                setattr(lexical, name, value)
+            yield from run(batches)
+
+        return of_size
+
+    monkeypatch.setattr(lexical, "_search", sized)
+    docs, items = corpus(250, random.Random(tree))
+    assert found(spark, docs, items, partitions) == expected(docs, items)
+
+
+def test_nothing_to_find(spark):
+    docs, items = corpus(20, random.Random(1))
+    assert found(spark, [], items) == []
+    assert found(spark, docs, []) == []
+    assert found(spark, [(1, None), (2, "...")], items) == []
+
+
+def vectors(n, size, rng):
+    ids, starts, at, values = np.arange(n), [0], [], []
+    for _ in range(n):
+        own = sorted(rng.sample(range(size), rng.randint(1, 9)))
+        at += own
+        values += [rng.randint(0, 10**10) for _ in own]
+        starts.append(len(at))
+    return lexical.Vectors(ids, np.array(starts), np.array(at), np.array(values))
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 100, 333])
+def test_no_score_exceeds_its_nodes_bounds(n):
+    rng = random.Random(n)
+    rows = vectors(n, 40, rng)
+    tree = lexical.BallTree(rows, 40, leaf=4)
+    items = np.array([[rng.randint(0, 3) for _ in range(6)] for _ in range(40)], float)
+    bounds = tree.bounds(items)
+    assert sorted(tree.rows.ids) == list(range(n))
+    for level, ends in enumerate(tree.ends):
+        assert len(ends) == 2**level + 1 and ends[0] == 0 and ends[-1] == n
+        for k, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
+            for row in range(low, high):
+                own = slice(tree.rows.starts[row], tree.rows.starts[row + 1])
+                scores = tree.rows.values[own] @ items[tree.rows.terms[own]]
+                assert (scores <= bounds[2**level - 1 + k]).all()
+
+
+def test_search_opens_few_leaves_where_rows_are_apart():
+    rng = random.Random(4)
+    rows = vectors(512, 4_000, rng)
+    item = {int(t): 1 for t in rows.terms[rows.starts[7] : rows.starts[8]]}
+    block = lexical.Block([1], [item], {i: i for i in range(4_000)})
+    search = lexical.Search(block, np.ones(4_000, np.int64), top=1)
+    search.add(rows)
+    own = np.isin(rows.terms, list(item)) * rows.values
+    assert search.best[0][0][0] == np.add.reduceat(own, rows.starts[:-1]).max()
+    assert search.opened < 0.1 * search.leaves

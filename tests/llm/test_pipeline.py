@@ -25,7 +25,7 @@ def test_query_against_sql(spark, name):
 
 
 def test_all_queries_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 

@@ -1,7 +1,7 @@
 """The registered queries of the operators, and their SQL where SQL can express them.
 
-SQL has no byte-pair merges, XXH64, CRC-32, samples from hashes, string kernels or forests, so most
-operators are tested against brute force in tests/llm instead.
+SQL has no byte-pair merges, XXH64, samples from hashes, string kernels or forests, so most operators are
+tested against brute force in tests/llm instead.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from tillwatch.llm import (
     byte_bpe,
     chat,
     fingerprints,
+    lexical,
     licenses,
     merkle,
     mixing,
@@ -86,6 +87,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op12_lexical": op12_lexical,
     "op13_url_rules": op13_url_rules,
 }
 
@@ -143,5 +149,6 @@ SQL: dict[str, str] = {
     "op4_warc": _WARC,
     "op6_chat": _CHAT,
     "op11_merkle": statements.MERKLE,
+    "op12_lexical": statements.LEXICAL,
     "op13_url_rules": statements.URL_RULES,
 }
