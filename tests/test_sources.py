@@ -7,6 +7,7 @@ import gzip
 from decimal import Decimal
 from pathlib import Path
 
+import compare
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ import __spark_entry__ as entry
 from tillwatch.__main__ import run
 from tillwatch.functions.timekeys import epoch_micros, epoch_seconds, from_epoch_micros
 from tillwatch.params import AgentImbalance, RuleSettings, Structuring, settings_from_json
-from tillwatch.plans.models import TABLES, Models, write_all
+from tillwatch.plans.models import TABLES, Models, write_all, write_readouts
 from tillwatch.sources import feed as feeds
 from tillwatch.sources import store
 from tillwatch.sources.feed import Feed
@@ -150,7 +151,9 @@ def test_write_all(spark, folder, tmp_path):
 def test_run_over_a_folder(spark, folder, tmp_path):
     (folder / "fraud_ground_truth.csv.gz").unlink()
     written = run(spark, str(folder), str(tmp_path / "out"), as_of=dt.date(2026, 3, 1), read_partitions=2)
-    readouts = {"kpis", "alert_queue", "alerts_by_rule", "daily_volume_by_type", "value_by_region", "imbalance_list", "busiest_agents"}
+    by_flags = {"kpis", "alert_queue", "alerts_by_rule"}
+    readouts = {"daily_volume_by_type", "value_by_region", "imbalance_list", "busiest_agents", "combined_flags_exact", "alert_summary_exact"}
+    readouts |= by_flags | {f"{name}_all_rules" for name in by_flags}
     assert set(written) == {*TABLES, "fct_transactions", "dq_violations", *readouts}
     assert written["kpis"].first()["total_transactions"] == 2
     assert written["dim_customers"].count() == 2
@@ -213,3 +216,21 @@ def test_write_all_agrees_with_the_lazy_models(spark, tmp_path):
     lazy = entry._models(spark, sf)
     for name in ("fr_velocity_flags", "fr_geo_impossible_flags", "fr_dormant_reactivation_flags", "fraud_alerts", "fraud_alert_summary", "fct_transactions"):
         assert rows(written[name]) == rows(getattr(lazy, name).select(*written[name].columns)), name
+
+
+#: The job's read-outs whose queries have other names.
+QUERY_OF = {"alert_queue": "alert_queue_top200", "busiest_agents": "top20_agents", "alert_queue_all_rules": "alert_queue_top200_all_rules"}
+
+
+def test_the_jobs_read_outs_equal_the_queries(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"
+    models = Models(entry._feed(spark, sf), entry.SETTINGS, as_of=entry.AS_OF, alert_created_at=entry.ALERT_CREATED_AT, store=store.Store(spark))
+    write_all(models, str(tmp_path / "out"))
+    written = write_readouts(models, str(tmp_path / "out"))
+    assert len(written) == 18
+    con = compare.connect(sf)
+    for name in written:
+        df = entry._plain(spark.read.parquet(str(tmp_path / "out" / "readouts" / name)))
+        sql = entry.oracle_sql()[QUERY_OF.get(name, name)]
+        assert compare.spark_result(df) == compare.duck_result(con, sql), name
+    models.store.clear()

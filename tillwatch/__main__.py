@@ -69,7 +69,7 @@ def run(
         feed = landed(read_feed(spark, feed_folder, read_partitions), store)
         models = Models(feed, settings or RuleSettings(), as_of=as_of, store=store)
         written = write_all(models, out)
-        written |= write_readouts(models, written, out)
+        written |= write_readouts(models, out)
         written["dq_violations"] = as_files(checks.violations(models), f"{out.rstrip('/')}/dq_violations")
         return written
     finally:

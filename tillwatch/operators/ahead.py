@@ -62,6 +62,18 @@ def totals_ahead(ticks: DataFrame, keys: list[str], tick: str, span: int, weight
     return summed.where("own").select(*keys, F.col("at").alias(tick), *weights)
 
 
+def crowded_seconds(rows: DataFrame, span: int, at_least: int, amount: str | None = None) -> DataFrame:
+    """The seconds from which a customer makes `at_least` transactions within `span` seconds.
+
+    `rows` needs customer_id and txn_timestamp. Returns customer_id, second, n and, with `amount`, its sum
+    under the same name.
+    """
+    ticks = _with_second(rows).groupBy("customer_id", "second").agg(
+        F.count("*").alias(COUNT), *([F.sum(amount).alias(amount)] if amount else [])
+    )
+    return totals_ahead(ticks, ["customer_id"], "second", span, _weights(amount)).where(F.col(COUNT) >= at_least)
+
+
 def crowded_starts(
     rows: DataFrame,
     span: int,
@@ -71,48 +83,45 @@ def crowded_starts(
 ) -> DataFrame:
     """The instants from which a customer makes `at_least` transactions within `span` seconds.
 
-    `rows` needs customer_id and txn_timestamp. Returns customer_id, second, (micro with
-    precision "micro",) n and, with `amount`, its sum under the same name.
+    As `crowded_seconds`, with the column micro too if precision is "micro".
     """
-    weights = [COUNT] + ([amount] if amount else [])
-    seconds = rows.withColumn("second", epoch_seconds(F.col("txn_timestamp")))
-    ticks = seconds.groupBy("customer_id", "second").agg(
-        F.count("*").alias(COUNT), *([F.sum(amount).alias(amount)] if amount else [])
-    )
-    crowded = totals_ahead(ticks, ["customer_id"], "second", span, weights).where(
-        F.col(COUNT) >= at_least
-    )
+    crowded = crowded_seconds(rows, span, at_least, amount)
     if precision == "second":
         return crowded
-    return _refined(seconds, crowded, span, amount).where(F.col(COUNT) >= at_least)
+    return exact_starts(edge_rows(rows, crowded, span, amount), amount).where(F.col(COUNT) >= at_least)
 
 
-def _refined(seconds: DataFrame, crowded: DataFrame, span: int, amount: str | None) -> DataFrame:
-    """Bring counts over whole seconds [s, s + span] down to the microsecond.
+def edge_rows(rows: DataFrame, crowded: DataFrame, span: int, amount: str | None = None) -> DataFrame:
+    """The rows in the two edge seconds of each crowded window, with its `start` and whole-second totals (`upper_`).
 
-    Only the two edge seconds matter: from a start at s + f, what second s holds before f and
-    what second s + span holds after f is not in the window. The counts over whole seconds are
-    upper bounds, so starts that are not crowded by them need no second look.
+    A row is in the first second of one window at most, and in the last second of one.
     """
-    weights = [COUNT] + ([amount] if amount else [])
     edges = crowded.select(
         "customer_id",
         F.col("second").alias("start"),
-        *[F.col(w).alias(f"upper_{w}") for w in weights],
+        *[F.col(w).alias(f"upper_{w}") for w in _weights(amount)],
         F.explode(F.array(F.col("second"), F.col("second") + span)).alias("second"),
     )
+    return _with_second(rows).withColumn("micro", micro_of_second(F.col("txn_timestamp"))).join(
+        edges, ["customer_id", "second"]
+    )
+
+
+def exact_starts(near: DataFrame, amount: str | None = None) -> DataFrame:
+    """Bring the totals over whole seconds [s, s + span] down to the microsecond.
+
+    Only the two edge seconds matter: from a start at s + f, what second s holds before f and
+    what second s + span holds after f is not in the window. The counts over whole seconds are
+    upper bounds, so starts that are not crowded by them need no second look.
+    """
+    weights = _weights(amount)
     own = F.col("second") == F.col("start")
     one = {COUNT: F.lit(1).cast("long"), **({amount: F.col(amount)} if amount else {})}
-    near = (
-        seconds.withColumn("micro", micro_of_second(F.col("txn_timestamp")))
-        .join(edges, ["customer_id", "second"])
-        .groupBy("customer_id", "start", "micro")
-        .agg(
-            F.count_if(own).alias("starts"),
-            *[F.max(f"upper_{w}").alias(f"upper_{w}") for w in weights],
-            *[F.sum(F.when(own, one[w]).otherwise(F.lit(0))).alias(f"own_{w}") for w in weights],
-            *[F.sum(F.when(own, F.lit(0)).otherwise(one[w])).alias(f"late_{w}") for w in weights],
-        )
+    summed = near.groupBy("customer_id", "start", "micro").agg(
+        F.count_if(own).alias("starts"),
+        *[F.max(f"upper_{w}").alias(f"upper_{w}") for w in weights],
+        *[F.sum(F.when(own, one[w]).otherwise(F.lit(0))).alias(f"own_{w}") for w in weights],
+        *[F.sum(F.when(own, F.lit(0)).otherwise(one[w])).alias(f"late_{w}") for w in weights],
     )
     # At most a million microseconds per group.
     group = Window.partitionBy("customer_id", "start")
@@ -123,11 +132,33 @@ def _refined(seconds: DataFrame, crowded: DataFrame, span: int, amount: str | No
         after = F.sum(f"late_{w}").over(group) - F.sum(f"late_{w}").over(upto)
         return (F.col(f"upper_{w}") - before - after).alias(w)
 
-    return near.select(
+    return summed.select(
         "customer_id", F.col("start").alias("second"), "micro", "starts", *[exact(w) for w in weights]
     ).where("starts > 0").drop("starts")
 
 
+def opening_rows(near: DataFrame, precision: str, at_least: int, amount: str | None = None) -> DataFrame:
+    """What `rows_at` finds at the starts of that precision, from the edge rows alone.
+
+    Both precisions share the edge rows: the transactions are searched once for the two of them.
+    """
+    weights = _weights(amount)
+    own = near.where("second = start")
+    if precision == "second":
+        return own.drop(*weights).withColumnsRenamed({f"upper_{w}": w for w in weights}).drop("start", "second", "micro")
+    starts = exact_starts(near, amount).where(F.col(COUNT) >= at_least)
+    own = own.drop(*weights, *[f"upper_{w}" for w in weights])
+    return own.join(starts, ["customer_id", "second", "micro"]).drop("start", "second", "micro")
+
+
+def _weights(amount: str | None) -> list[str]:
+    return [COUNT, *([amount] if amount else [])]
+
+
+def _with_second(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("second", epoch_seconds(F.col("txn_timestamp")))
+
+
 def rows_at(rows: DataFrame, starts: DataFrame) -> DataFrame:
     """The rows at the given instants, with what the instants carry.
 
@@ -135,7 +166,7 @@ def rows_at(rows: DataFrame, starts: DataFrame) -> DataFrame:
     join; if `starts` is small, Spark broadcasts it after looking at its size.
     """
     on = [c for c in ("customer_id", "second", "micro") if c in starts.columns]
-    keyed = rows.withColumn("second", epoch_seconds(F.col("txn_timestamp")))
+    keyed = _with_second(rows)
     if "micro" in on:
         keyed = keyed.withColumn("micro", micro_of_second(F.col("txn_timestamp")))
     return keyed.join(starts, on).drop("second", "micro")

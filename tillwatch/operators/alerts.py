@@ -27,7 +27,8 @@ def all_flags(*flags: DataFrame) -> DataFrame:
 def combined_flags(*flags: DataFrame) -> DataFrame:
     """Union of rule outputs with their metrics, one row per copy."""
     columns = ["transaction_id", "fraud_pattern", "severity", F.col("rule_metric").cast("double").alias("rule_metric")]
-    return reduce(DataFrame.unionByName, [one.select(*columns) for one in flags])
+    every = [repeat_rows(one) if COPIES in one.columns else one for one in flags]
+    return reduce(DataFrame.unionByName, [one.select(*columns) for one in every])
 
 
 def one_per_rule(flags: DataFrame) -> DataFrame:
@@ -54,23 +55,26 @@ def fraud_alerts(
     created = F.lit((alert_created_at or utc_now()).isoformat(sep=" ")).cast("timestamp_ntz")
     about = txns.select("transaction_id", "txn_type", "amount", "region", "agent_id")
     who = customers.select("customer_id", "kyc_tier", "account_age_days")
-    alerts = (
-        flags.join(about, "transaction_id")
-        .join(who, "customer_id")
-        .select(
-            *ALERT,
-            "txn_type",
-            "amount",
-            "region",
-            "agent_id",
-            "kyc_tier",
-            "account_age_days",
-            F.lit("open").alias("review_status"),
-            created.alias("alert_created_at"),
-            COPIES,
+
+    def enriched(flags: DataFrame) -> DataFrame:
+        return (
+            flags.join(about, "transaction_id")
+            .join(who, "customer_id")
+            .select(
+                *ALERT,
+                "txn_type",
+                "amount",
+                "region",
+                "agent_id",
+                "kyc_tier",
+                "account_age_days",
+                F.lit("open").alias("review_status"),
+                created.alias("alert_created_at"),
+                COPIES,
+            )
         )
-    )
-    return repeat_rows(alerts) if every_copy else alerts
+
+    return repeat_rows(flags, enriched) if every_copy else enriched(flags)
 
 
 def per_transaction(flags: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ it once with a `copies` column (see operators/copies.py).
 
 from __future__ import annotations
 
+from dataclasses import replace
 from decimal import Decimal
 from functools import reduce
 from operator import or_
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.grading import graded, ratio, single_limit
 from tillwatch.functions.timekeys import MICROS, epoch_micros, epoch_seconds, floor_div, from_epoch_micros
-from tillwatch.operators.ahead import COUNT, crowded_starts, in_slices, rows_at
+from tillwatch.operators.ahead import (
+    COUNT, crowded_seconds, crowded_starts, edge_rows, in_slices, opening_rows, rows_at,
+)
 from tillwatch.operators.copies import COPIES, repeat_rows
 from tillwatch.params import AgentImbalance, Dormant, GeoImpossible, Structuring, Velocity
 from tillwatch.schemas import CASH_TYPES, KYC_SINGLE_LIMITS
@@ -46,11 +49,30 @@ def velocity_flags(txns: DataFrame, rule: Velocity = Velocity(), keep=None) -> D
     `keep` may write the opening instants down (see sources/store.py). There are few, and Spark
     then knows how few: it broadcasts them and the transactions are not shuffled again.
     """
-    rows = txns.select("transaction_id", "customer_id", "txn_timestamp")
+    rows = _timed(txns)
     starts = crowded_starts(rows, rule.window_minutes * 60, rule.min_transactions, rule.precision)
     if keep:
         starts = keep(starts, "velocity_starts")
-    return rows_at(rows, starts).select(
+    return _velocity(rows_at(rows, starts), rule)
+
+
+def velocity_edges(txns: DataFrame, rule: Velocity, keep) -> DataFrame:
+    """The rows at the edges of crowded windows, from which `velocity_opening` reads the flags of either precision."""
+    rows, span = _timed(txns), rule.window_minutes * 60
+    crowded = keep(crowded_seconds(rows, span, rule.min_transactions), "velocity_starts")
+    return keep(edge_rows(rows, crowded, span), "velocity_edges")
+
+
+def velocity_opening(edges: DataFrame, rule: Velocity) -> DataFrame:
+    return _velocity(opening_rows(edges, rule.precision, rule.min_transactions), rule)
+
+
+def _timed(txns: DataFrame) -> DataFrame:
+    return txns.select("transaction_id", "customer_id", "txn_timestamp")
+
+
+def _velocity(opening: DataFrame, rule: Velocity) -> DataFrame:
+    return opening.select(
         *_flag("velocity_cycling", F.col(COUNT), rule.min_transactions,
                graded(F.col(COUNT), rule.min_transactions))
     )
@@ -91,20 +113,36 @@ def structuring_flags(
 
     `with_totals` adds total_amount_in_window.
     """
-    needs_total = with_totals or rule.require_total_over_limit
     near = near_limit_transfers(txns, customers, rule.near_limit)
-    amount = "total_amount_in_window" if needs_total else None
+    total = _TOTAL if with_totals or rule.require_total_over_limit else None
     starts = crowded_starts(
-        near.withColumnRenamed("amount", "total_amount_in_window"),
-        rule.window_minutes * 60, rule.min_splits, rule.precision, amount,
+        near.withColumnRenamed("amount", _TOTAL), rule.window_minutes * 60, rule.min_splits, rule.precision, total
     )
     if keep:
         starts = keep(starts, "structuring_starts")
-    flagged = rows_at(near, starts)
+    return _structuring(rows_at(near, starts), rule, with_totals)
+
+
+_TOTAL = "total_amount_in_window"
+
+
+def structuring_edges(txns: DataFrame, customers: DataFrame, rule: Structuring, keep) -> DataFrame:
+    """The near-limit transfers at the edges of crowded windows, for `structuring_opening` at either precision."""
+    near = keep(near_limit_transfers(txns, customers, rule.near_limit), "near_limit").withColumnRenamed("amount", _TOTAL)
+    span = rule.window_minutes * 60
+    crowded = keep(crowded_seconds(near, span, rule.min_splits, _TOTAL), "structuring_starts")
+    return keep(edge_rows(near, crowded, span, _TOTAL), "structuring_edges")
+
+
+def structuring_opening(edges: DataFrame, rule: Structuring) -> DataFrame:
+    return _structuring(opening_rows(edges, rule.precision, rule.min_splits, _TOTAL), rule)
+
+
+def _structuring(opening: DataFrame, rule: Structuring, with_totals: bool = False) -> DataFrame:
     if rule.require_total_over_limit:
-        flagged = flagged.where(F.col("total_amount_in_window") > F.col("single_limit"))
-    extra = ["total_amount_in_window"] if with_totals else []
-    return flagged.select(
+        opening = opening.where(F.col(_TOTAL) > F.col("single_limit"))
+    extra = [_TOTAL] if with_totals else []
+    return opening.select(
         *_flag("structuring", F.col(COUNT), rule.min_splits, graded(F.col(COUNT), rule.min_splits), *extra)
     )
 
@@ -250,7 +288,7 @@ def _elsewhere(head: str) -> Column:
 
 
 def geo_impossible_flags(
-    txns: DataFrame, rule: GeoImpossible = GeoImpossible(), every_copy: bool = True
+    txns: DataFrame, rule: GeoImpossible = GeoImpossible(), every_copy: bool = True, keep=None
 ) -> DataFrame:
     """Agent transactions too soon after one of the same customer in another region.
 
@@ -286,7 +324,25 @@ def geo_impossible_flags(
         .withColumn("txn_timestamp", from_epoch_micros(F.col("found_at")))
         .select(*_flag("geo_impossible", metric, rule.max_minutes, severity, F.col("n").alias(COPIES)))
     )
-    return repeat_rows(flags) if every_copy else flags
+    if not every_copy:
+        return flags
+    return repeat_rows(keep(flags, "geo_once") if keep else flags)
+
+
+def geo_of_both_gaps(txns: DataFrame, rule: GeoImpossible, keep) -> dict[str, DataFrame]:
+    """The flags, with copies counted, in truncated minutes ("minute") and in exact ones ("exact").
+
+    Written by one job, in which both share the scan and the shuffle of the instants.
+    """
+    both = [
+        geo_impossible_flags(txns, replace(rule, gap=gap), every_copy=False)
+        .withColumn("rule_metric", F.col("rule_metric").cast("double"))
+        .withColumn("gap", F.lit(gap))
+        for gap in ("minute", "exact")
+    ]
+    kept = keep(reduce(DataFrame.unionByName, both), "geo_of_both_gaps")
+    minute, exact = (kept.where(F.col("gap") == gap).drop("gap") for gap in ("minute", "exact"))
+    return {"minute": minute.withColumn("rule_metric", F.col("rule_metric").cast("long")), "exact": exact}
 
 
 # --- dormant reactivation -------------------------------------------------------------------
@@ -347,4 +403,6 @@ def dormant_flags(
     flags = burst.select(
         *_flag("dormant_reactivation", F.col("silent_days"), rule.dormancy_days, severity, COPIES)
     )
-    return repeat_rows(flags) if every_copy else flags
+    if not every_copy:
+        return flags
+    return repeat_rows(keep(flags, "dormant_once") if keep else flags)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from decimal import Decimal
 
 
@@ -85,6 +85,15 @@ class RuleSettings:
     geo_impossible: GeoImpossible = field(default_factory=GeoImpossible)
     dormant: Dormant = field(default_factory=Dormant)
 
+    def to_the_microsecond(self) -> RuleSettings:
+        """The same thresholds on exact times, as the analyst's read-outs use them."""
+        return replace(
+            self,
+            velocity=replace(self.velocity, precision="micro"),
+            structuring=replace(self.structuring, precision="micro"),
+            geo_impossible=replace(self.geo_impossible, gap="exact"),
+        )
+
 
 def settings_from_json(text: str) -> RuleSettings:
     """Settings from a JSON object of rules, each an object of its parameters."""

@@ -59,15 +59,45 @@ class Models:
 
     # rules
 
+    # With a store, the rules that look ahead in time share with the analyst's variant what they read.
+
+    @cached_property
+    def velocity_edges(self) -> DataFrame:
+        return rules.velocity_edges(self.stg_transactions, self.settings.velocity, self.keep)
+
+    @cached_property
+    def structuring_edges(self) -> DataFrame:
+        return rules.structuring_edges(
+            self.stg_transactions, self.stg_customers, self.settings.structuring, self.keep
+        )
+
+    def _velocity(self, settings: RuleSettings) -> DataFrame:
+        if self.store:
+            return rules.velocity_opening(self.velocity_edges, settings.velocity)
+        return rules.velocity_flags(self.stg_transactions, settings.velocity)
+
+    def _structuring(self, settings: RuleSettings) -> DataFrame:
+        if self.store:
+            return rules.structuring_opening(self.structuring_edges, settings.structuring)
+        return rules.structuring_flags(self.stg_transactions, self.stg_customers, settings.structuring)
+
+    def _geo(self, settings: RuleSettings) -> DataFrame:
+        rule = settings.geo_impossible
+        if self.store:
+            return self.geo_of_both_gaps[rule.gap]
+        return rules.geo_impossible_flags(self.stg_transactions, rule, every_copy=False)
+
+    @cached_property
+    def geo_of_both_gaps(self) -> dict[str, DataFrame]:
+        return rules.geo_of_both_gaps(self.stg_transactions, self.settings.geo_impossible, self.keep)
+
     @cached_property
     def fr_velocity_flags(self) -> DataFrame:
-        return rules.velocity_flags(self.stg_transactions, self.settings.velocity, keep=self.keep)
+        return self._velocity(self.settings)
 
     @cached_property
     def fr_structuring_flags(self) -> DataFrame:
-        return rules.structuring_flags(
-            self.stg_transactions, self.stg_customers, self.settings.structuring, keep=self.keep
-        )
+        return self._structuring(self.settings)
 
     @cached_property
     def fr_agent_imbalance_flags(self) -> DataFrame:
@@ -82,10 +112,7 @@ class Models:
     @cached_property
     def geo_once(self) -> DataFrame:
         """The geo rule's output with copies counted."""
-        found = rules.geo_impossible_flags(
-            self.stg_transactions, self.settings.geo_impossible, every_copy=False
-        )
-        return self._kept(found, "geo_once")
+        return self._geo(self.settings)
 
     @cached_property
     def fr_geo_impossible_flags(self) -> DataFrame:
@@ -94,9 +121,10 @@ class Models:
     @cached_property
     def dormant_once(self) -> DataFrame:
         """The dormant rule's output with copies counted."""
-        return rules.dormant_flags(
+        found = rules.dormant_flags(
             self.stg_transactions, self.settings.dormant, every_copy=False, keep=self.keep
         )
+        return self._kept(found, "dormant_once")
 
     @cached_property
     def fr_dormant_reactivation_flags(self) -> DataFrame:
@@ -141,6 +169,28 @@ class Models:
         """The summary, written down for whoever joins it with a large table."""
         return self._kept(self.fraud_alert_summary, "fraud_alert_summary")
 
+    # the analyst's variant: three rules on exact times, and flags keep their row even if their customer
+    # or transaction is missing
+
+    @cached_property
+    def analyst_by_rule(self) -> tuple[DataFrame, ...]:
+        """Velocity, structuring and impossible travel, the last with copies counted."""
+        exact = self.settings.to_the_microsecond()
+        return self._velocity(exact), self._structuring(exact), self._geo(exact)
+
+    @cached_property
+    def combined_flags(self) -> DataFrame:
+        """The analyst's flags with their metrics, one row per copy."""
+        return alerts.combined_flags(*self.analyst_by_rule)
+
+    @cached_property
+    def analyst_flags(self) -> DataFrame:
+        return self._kept(alerts.all_flags(*self.analyst_by_rule), "analyst_flags")
+
+    @cached_property
+    def analyst_summary(self) -> DataFrame:
+        return self._kept(alerts.analyst_summary(self.analyst_flags, self.stg_transactions), "analyst_summary")
+
     # evaluation
 
     def _truth(self) -> DataFrame:
@@ -197,33 +247,53 @@ TABLES = (
 
 
 def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
-    """Write every rule and mart to `folder`, the fact table by day; return them as read back."""
+    """Write every rule and mart to `folder`, the fact table by day; return them as read back.
+
+    What is written takes the place of the model: whatever is built on it reads the files.
+    """
     folder = folder.rstrip("/")
-    written = {name: as_files(getattr(models, name), f"{folder}/{name}") for name in TABLES}
-    written["fct_transactions"] = write_fact(models.fct_transactions, f"{folder}/fct_transactions")
+    written = {}
+
+    def put(name: str, df: DataFrame) -> None:
+        written[name] = models.__dict__[name] = df
+
+    for name in TABLES:
+        put(name, as_files(getattr(models, name), f"{folder}/{name}"))
+    models.__dict__["kept_summary"] = written["fraud_alert_summary"]
+    put("fct_transactions", write_fact(models.fct_transactions, f"{folder}/fct_transactions"))
     if models.feed.ground_truth is not None:
-        written["fraud_rule_evaluation"] = as_files(
-            evaluation.rule_evaluation(models.feed.ground_truth, written["fraud_alert_summary"]),
-            f"{folder}/fraud_rule_evaluation",
-        )
+        put("fraud_rule_evaluation", as_files(models.fraud_rule_evaluation, f"{folder}/fraud_rule_evaluation"))
     return written
 
 
-def write_readouts(models: Models, written: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write the analyst's read-outs over what `write_all` has written; return them as read back."""
-    txns, summary, truth = models.stg_transactions, written["fraud_alert_summary"], models.feed.ground_truth
+def read_outs(models: Models) -> dict[str, DataFrame]:
+    """The analyst's read-outs by name; those that depend on the flags also over all rules (`_all_rules`)."""
+    txns, truth, imbalance = models.stg_transactions, models.feed.ground_truth, models.fr_agent_imbalance_pivot
     found = {
-        "kpis": readouts.headline_kpis(txns, summary, models.fr_agent_imbalance_pivot),
-        "alert_queue": readouts.alert_queue(summary),
-        "alerts_by_rule": readouts.alerts_by_rule(written["fraud_alerts"]),
+        "combined_flags_exact": models.combined_flags,
+        "alert_summary_exact": models.analyst_summary,
         "daily_volume_by_type": readouts.daily_volume_by_type(txns),
         "value_by_region": readouts.value_by_region(txns),
-        "imbalance_list": readouts.imbalance_list(models.fr_agent_imbalance_pivot),
+        "imbalance_list": readouts.imbalance_list(imbalance),
         "busiest_agents": readouts.busiest_agents(txns),
     }
-    if truth is not None:
-        zero = evaluation.rule_evaluation(truth, summary, zero_for_undefined=True)
-        found["validation_metrics"] = readouts.validation_metrics(zero)
-        found["recall_by_pattern"] = evaluation.recall_by_pattern(truth, summary)
+    sets = {"": (models.analyst_summary, models.analyst_flags), "_all_rules": (models.kept_summary, models.flags)}
+    for suffix, (summary, flags) in sets.items():
+        over = {
+            "kpis": readouts.headline_kpis(txns, summary, imbalance),
+            "alert_queue": readouts.alert_queue(summary),
+            "alerts_by_rule": readouts.alerts_by_rule(flags),
+        }
+        if truth is not None:
+            zero = evaluation.rule_evaluation(truth, summary, zero_for_undefined=True)
+            over["fraud_rule_evaluation_zero"] = zero
+            over["validation_metrics"] = readouts.validation_metrics(zero)
+            over["recall_by_pattern"] = evaluation.recall_by_pattern(truth, summary)
+        found |= {f"{name}{suffix}": df for name, df in over.items()}
+    return found
+
+
+def write_readouts(models: Models, folder: str) -> dict[str, DataFrame]:
+    """Write the analyst's read-outs to `folder`/readouts; return them as read back."""
     folder = folder.rstrip("/")
-    return {name: as_files(df, f"{folder}/readouts/{name}") for name, df in found.items()}
+    return {name: as_files(df, f"{folder}/readouts/{name}") for name, df in read_outs(models).items()}
