@@ -250,3 +250,44 @@ def test_analyst_summary_keeps_flags_without_customer_or_transaction(spark, txns
     out = {r.transaction_id: r for r in alerts.analyst_summary(flags, frame).collect()}
     assert set(out) == {"t1", "t2"} and out["t1"].fraud_patterns == "structuring, velocity_cycling"
     assert out["t2"].amount is None and out["t1"].rules_tripped == 2
+
+
+def test_many_checks_in_one_pass(spark):
+    Check = quality.Check
+    people = spark.createDataFrame(
+        [("p1",), ("p2",), ("p2",), ("p2",), (None,), ("é",), ("",)], "key string"
+    )
+    shops = spark.createDataFrame([("s1",), ("p9",)], "key string")
+    bad = spark.createDataFrame(
+        [("1", "tier_1", "p1", "p9", "s1"), ("1", "tier_2", None, "p1", "s9"), (None, "tier_3", "p3", "p3", None),
+         (None, None, "p3", None, "p1"), ("2", "tier_4", "p2", "é", "s1"), ("3", "tier_4", "", "p3", "s1")],
+        "id string, tier string, parent string, other string, shop string",
+    )
+    tables = {"t": bad, "people": people, "shops": shops}
+    checks = [
+        Check("unique", "t", "id"), Check("not_null", "t", "id"), Check("not_null", "t", "tier"),
+        Check("accepted_values", "t", "tier", accepted=("tier_1", "tier_2", "tier_3")), Check("unique", "people", "key"),
+        Check("foreign_key", "t", "parent", parent=("people", "key")),
+        Check("foreign_key", "t", "other", parent=("people", "key")),
+        Check("foreign_key", "t", "shop", parent=("shops", "key")),
+    ]
+    found = quality.offences(tables, checks)
+    assert rows(found) == sorted([
+        ("unique", "t", "id", "1", 2), ("not_null", "t", "id", None, 2), ("not_null", "t", "tier", None, 1),
+        ("accepted_values", "t", "tier", "tier_4", 2), ("unique", "people", "key", "p2", 3),
+        ("foreign_key", "t", "parent", "p3", 2), ("foreign_key", "t", "other", "p3", 2),
+        ("foreign_key", "t", "other", "p9", 1), ("foreign_key", "t", "shop", "s9", 1), ("foreign_key", "t", "shop", "p1", 1),
+    ], key=repr)
+    # As each check finds alone.
+    alone = (
+        quality.not_unique(bad, "t", "id"), quality.nulls(bad, "t", ("id", "tier")),
+        quality.not_accepted(bad, "t", "tier", checks[3].accepted), quality.not_unique(people, "people", "key"),
+        quality.orphans(bad, "t", "parent", people, "key"), quality.orphans(bad, "t", "other", people, "key"),
+        quality.orphans(bad, "t", "shop", shops, "key"),
+    )
+    assert rows(found) == rows(quality.violations(*alone))
+    assert rows(quality.counted_report(tables, checks[5:], count_rows=True)) == [("t", "other", 3), ("t", "parent", 2), ("t", "shop", 2)]
+    assert rows(quality.counted_report(tables, checks[:1])) == [("t", "id", 1)]
+    none = {name: df.limit(0) for name, df in tables.items()}
+    assert rows(quality.offences(none, checks)) == []
+    assert rows(quality.counted_report(none, checks[5:7])) == [("t", "other", 0), ("t", "parent", 0)]

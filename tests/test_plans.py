@@ -8,7 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tillwatch.operators import rules, staging
+from tillwatch.operators import quality, rules, staging
+from tillwatch.operators.copies import BLOCK, repeat_rows
+from tillwatch.operators.quality import Check
+from tillwatch.plans import checks
+from tillwatch.plans.models import Models, write_all, write_readouts
 from tillwatch.sources.store import Store, write_fact
 
 SF = "/root/testdata/sf0.001"
@@ -84,3 +88,82 @@ def test_sparse_join_is_not_folded_away(spark, models):
 def test_latest_copy_keeps_the_schema(models):
     raw = models.feed.transactions
     assert staging.latest_copy(raw).columns == raw.columns
+
+
+def final_plan(df) -> str:
+    """The plan after the run; Spark plans again while it runs."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_one_scan_of_a_relation_for_all_checks(spark, models, tmp_path):
+    tables = {}
+    for name in ("agents", "customers", "transactions"):
+        getattr(models.feed, name).write.parquet(str(tmp_path / name))
+        tables[f"raw.{name}"] = spark.read.parquet(str(tmp_path / name))
+    every = [
+        *checks._unique(tables), *[Check("not_null", r, c) for r in tables for c in checks.REQUIRED[r]], *checks._references()
+    ]
+    text = final_plan(quality.offences(tables, every))
+    assert text.count("Scan parquet") == 3
+    assert len(re.findall(r"(?<!Reused)Exchange ", text)) == 1
+    assert "Join" not in text
+
+
+def test_both_gaps_share_their_scans(spark, models, tmp_path):
+    path = str(tmp_path / "staged")
+    models.stg_transactions.write.parquet(path)
+    seen = []
+
+    def keep(df, name):
+        seen.append(df)
+        return df
+
+    rules.geo_of_both_gaps(spark.read.parquet(path), entry.SETTINGS.geo_impossible, keep)
+    text, one = final_plan(seen[0]), final_plan(rules.geo_impossible_flags(spark.read.parquet(path), every_copy=False))
+    assert text.count("Scan parquet") == one.count("Scan parquet") and text.count("ReusedExchange") >= 2
+
+
+class RecordingStore(Store):
+    """Remembers the plans of what it keeps."""
+
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.kept = []
+
+    def keep(self, df, name):
+        self.kept.append((name, plan(df)))
+        return super().keep(df, name)
+
+
+def test_the_job_joins_each_rules_starts_once(spark, tmp_path):
+    kept = RecordingStore(spark)
+    settings = (entry.SETTINGS, entry.AS_OF, entry.ALERT_CREATED_AT, kept)
+    models = Models(entry._feed(spark, SF), *settings)
+    write_all(models, str(tmp_path))
+    write_readouts(models, str(tmp_path))
+    names = [name for name, _ in kept.kept]
+    assert len(names) == len(set(names)), "nothing is kept twice"
+    plans = dict(kept.kept)
+    # The union of the flags reads what was written, and so do the analyst's flags.
+    assert "Join" not in plans["flags"] and "Window" not in plans["flags"]
+    assert [name for name, text in kept.kept if "velocity_starts" in text] == ["velocity_edges"]
+    assert [name for name, text in kept.kept if "structuring_starts" in text] == ["structuring_edges"]
+    kept.clear()
+
+
+def test_only_crowded_rows_are_dealt_out(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", BLOCK), ("c", 3 * BLOCK)], "id string, copies long")
+    df.write.parquet(str(tmp_path / "flags"))
+    text = final_plan(repeat_rows(spark.read.parquet(str(tmp_path / "flags"))))
+    (exchange,) = re.findall(r"(?<!Reused)Exchange hashpartitioning\(xxhash64.*", text)
+    below = text[text.index(exchange) :]
+    assert f"GreaterThan(copies,{BLOCK})" in below and f"LessThanOrEqual(copies,{BLOCK})" in text[: text.index(exchange)]
+
+
+def test_nothing_is_joined_for_crowded_rows_where_there_are_none(spark, models, tmp_path):
+    spark.createDataFrame([("a", 1), ("b", 2)], "id string, copies long").write.parquet(str(tmp_path / "flags"))
+    spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("more")).write.parquet(str(tmp_path / "about"))
+    about = spark.read.parquet(str(tmp_path / "about"))
+    text = final_plan(repeat_rows(spark.read.parquet(str(tmp_path / "flags")), lambda rows: rows.join(about, "id")))
+    assert text.count("Join") == 1

@@ -7,10 +7,11 @@ column, zeros included.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -110,3 +111,105 @@ def _one_scan_report(relations, wrong) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, lines)
+
+
+# --- many checks at once ----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Check:
+    """A check of one column: `unique`, `not_null`, `accepted_values` or `foreign_key`."""
+
+    name: str
+    relation: str
+    column: str
+    accepted: tuple[str, ...] = ()
+    parent: tuple[str, str] | None = None
+
+    @property
+    def keys(self) -> tuple[str, str]:
+        """The (relation, column) whose values are the keys that the check is about."""
+        return self.parent or (self.relation, self.column)
+
+
+def offences(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """The offending values of all checks, from one scan of each relation, one shuffle and no join.
+
+    Each row of a relation contributes (group, side, value) facts, which are counted per group and value,
+    first within the map tasks. A unique column is a group, and the columns that refer to it are in
+    the same one, each on a side of its own: a key counted twice is not unique, and a value with references
+    but no key is an orphan. NULLs and values that are not accepted are facts only where they occur.
+
+    A filter of the parents' keys (a Bloom filter) in front of a join would not be exact here: what passes it may be
+    a false positive, so all that passes had to be joined too.
+    """
+    keyed = sorted({c.keys for c in checks if c.name in ("unique", "foreign_key")})
+    groups = {keys: i for i, keys in enumerate(keyed)}
+    sides: dict[tuple[str, str], list[int]] = {keys: [] for keys in keyed}
+    facts: dict[str, list[Column]] = {}
+
+    def fact(relation: str, when: Column, group: int, side: int, value: Column) -> None:
+        entry = F.struct(
+            F.lit(group).alias("group"), F.lit(side).alias("side"), value.cast("string").alias("value")
+        )
+        facts.setdefault(relation, []).append(F.when(when, entry))
+
+    for (relation, column), group in groups.items():
+        fact(relation, F.col(column).isNotNull(), group, 0, F.col(column))
+    found = []
+    for number, check in enumerate(checks):
+        column = F.col(check.column)
+        if check.name == "unique":
+            found.append((groups[check.keys], F.col("side_0") > 1, F.col("side_0")))
+        elif check.name == "foreign_key":
+            sides[check.keys].append(number)
+            side = len(sides[check.keys])
+            fact(check.relation, column.isNotNull(), groups[check.keys], side, column)
+            found.append((groups[check.keys], (F.col("side_0") == 0) & (F.col(f"side_{side}") > 0), F.col(f"side_{side}")))
+        else:
+            wrong = column.isNull() if check.name == "not_null" else ~column.isin(*check.accepted)
+            fact(check.relation, wrong, len(groups) + number, 0, column)
+            found.append((len(groups) + number, F.lit(True), F.col("side_0")))
+
+    each = [
+        tables[relation].select(F.explode(F.filter(F.array(*own), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        for relation, own in facts.items()
+    ]
+    most = max(map(len, sides.values()), default=0)
+    counted = (
+        reduce(DataFrame.unionByName, each)
+        .groupBy("group", "value")
+        .agg(*[F.count_if(F.col("side") == i).alias(f"side_{i}") for i in range(most + 1)])
+        # One key, however often referred to, is as it should be.
+        .where((F.col("group") >= len(groups)) | (F.col("side_0") != 1))
+    )
+    entries = [
+        F.when(
+            (F.col("group") == group) & wrong,
+            F.struct(
+                F.lit(check.name).alias("check_name"),
+                F.lit(check.relation).alias("relation"),
+                F.lit(check.column).alias("column_name"),
+                F.col("value").alias("offending_value"),
+                rows.alias("row_count"),
+            ),
+        )
+        for check, (group, wrong, rows) in zip(checks, found, strict=True)
+    ]
+    offending = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    return counted.select(F.explode(offending).alias("e")).select("e.*")
+
+
+def counted_report(tables: Mapping[str, DataFrame], checks: Sequence[Check], count_rows: bool = False) -> DataFrame:
+    """Offending values (or their rows) per (relation, column) of the checks, zeros included."""
+    lines = F.array(*[F.struct(F.lit(c.relation).alias("relation"), F.lit(c.column).alias("column_name")) for c in checks])
+    found = offences(tables, checks)
+    spark = found.sparkSession
+    none = spark.range(1).select(F.explode(lines).alias("line"), F.lit(0).cast("long").alias("violations")).select("line.*", "violations")
+    one = F.col("row_count") if count_rows else F.lit(1).cast("long")
+    return (
+        found.select("relation", "column_name", one.alias("violations"))
+        .unionByName(none)
+        .groupBy("relation", "column_name")
+        .agg(F.sum("violations").alias("violations"))
+    )

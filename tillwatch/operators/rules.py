@@ -332,7 +332,7 @@ def geo_impossible_flags(
 def geo_of_both_gaps(txns: DataFrame, rule: GeoImpossible, keep) -> dict[str, DataFrame]:
     """The flags, with copies counted, in truncated minutes ("minute") and in exact ones ("exact").
 
-    Written by one job, in which both share the scan and the shuffle of the instants.
+    Written by one job, in which both share the scans and the shuffles of the instants.
     """
     both = [
         geo_impossible_flags(txns, replace(rule, gap=gap), every_copy=False)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tillwatch import schemas
 from tillwatch.operators import quality
+from tillwatch.operators.quality import Check
 from tillwatch.plans.models import Models
 
 KEYS = {
@@ -57,21 +58,18 @@ def relations(models: Models) -> dict[str, DataFrame]:
     return {name: table for name, table in tables.items() if table is not None}
 
 
-def _not_unique(tables) -> dict[tuple[str, str], DataFrame]:
-    return {(r, KEYS[r]): quality.not_unique(df, r, KEYS[r]) for r, df in tables.items()}
+def _unique(tables) -> list[Check]:
+    return [Check("unique", r, KEYS[r]) for r in tables]
 
 
-def _orphans(tables) -> dict[tuple[str, str], DataFrame]:
-    name = "raw.transactions"
-    return {
-        (name, column): quality.orphans(tables[name], name, column, tables[parent], key)
-        for column, (parent, key) in REFERENCES.items()
-    }
+def _references() -> list[Check]:
+    return [Check("foreign_key", "raw.transactions", column, parent=parent) for column, parent in REFERENCES.items()]
 
 
 def unique_report(models: Models) -> DataFrame:
     """Repeated keys per table."""
-    return quality.report(_not_unique(relations(models)))
+    tables = relations(models)
+    return quality.counted_report(tables, _unique(tables))
 
 
 def not_null_report(models: Models) -> DataFrame:
@@ -87,15 +85,18 @@ def accepted_values_report(models: Models) -> DataFrame:
 
 def foreign_key_report(models: Models) -> DataFrame:
     """Rows without a parent per referring column."""
-    return quality.report(_orphans(relations(models)), count_rows=True)
+    return quality.counted_report(relations(models), _references(), count_rows=True)
 
 
 def violations(models: Models) -> DataFrame:
     """The offending values of every check."""
     tables = relations(models)
-    return quality.violations(
-        *_not_unique(tables).values(),
-        *[quality.nulls(df, r, REQUIRED[r]) for r, df in tables.items()],
-        *[quality.not_accepted(tables[r], r, c, values) for (r, c), values in ACCEPTED.items()],
-        *_orphans(tables).values(),
+    return quality.offences(
+        tables,
+        [
+            *_unique(tables),
+            *[Check("not_null", r, c) for r in tables for c in REQUIRED[r]],
+            *[Check("accepted_values", r, c, accepted=values) for (r, c), values in ACCEPTED.items()],
+            *_references(),
+        ],
     )
