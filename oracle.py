@@ -390,6 +390,18 @@ def statements() -> dict[str, str]:
             "FROM raw_transactions"
         ),
         "load_ground_truth": _with("SELECT * FROM truth"),
+        "load_transactions_that_fit": _with(
+            "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at) "
+            "FROM raw_transactions WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 97 > 0"
+        ),
+        "load_rejected_lines": _with(
+            "SELECT 'raw.transactions' AS relation, concat(transaction_id, ',', "
+            "CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 194 = 97 THEN 'about ' END, "
+            "strftime(txn_timestamp, '%Y-%m-%dT%H:%M:%S.%f'), ',', customer_id, ',', agent_id, ',', "
+            "counterparty_customer_id, ',', txn_type, ',', CAST(amount AS VARCHAR), "
+            "CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 194 = 0 THEN ' F' END, ',', region) AS line "
+            "FROM raw_transactions WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 97 = 0"
+        ),
         "stg_agents_view": _with(f"SELECT {_AGENT} FROM agents_s"),
         "label_split_feed": _with(
             "SELECT transaction_id, txn_timestamp, customer_id, agent_id, counterparty_customer_id, txn_type, "

@@ -13,7 +13,7 @@ from tillwatch.operators.copies import BLOCK, repeat_rows
 from tillwatch.operators.quality import Check
 from tillwatch.plans import checks
 from tillwatch.plans.models import Models, write_all, write_readouts
-from tillwatch.sources.store import Store, write_fact
+from tillwatch.sources.store import Store, as_files, fact_layout, write_fact
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonRDD", "MapInPandas")
@@ -167,3 +167,12 @@ def test_nothing_is_joined_for_crowded_rows_where_there_are_none(spark, models,
     about = spark.read.parquet(str(tmp_path / "about"))
     text = final_plan(repeat_rows(spark.read.parquet(str(tmp_path / "flags")), lambda rows: rows.join(about, "id")))
     assert text.count("Join") == 1
+
+
+def test_the_facts_are_joined_once_as_they_are_written(spark, tmp_path):
+    models = Models(entry._feed(spark, SF), entry.SETTINGS, entry.AS_OF, entry.ALERT_CREATED_AT, Store(spark))
+    models.__dict__["transaction_velocity_daily"] = as_files(models.transaction_velocity_daily, str(tmp_path / "daily"))
+    text = final_plan(fact_layout(models.fct_transactions, models.day_rows))
+    assert len(re.findall(r"FileScan parquet \[transaction_id[^]]*txn_hour", text)) == 1
+    assert "RangePartitioning" not in text and "rangepartitioning" not in text
+    models.store.clear()

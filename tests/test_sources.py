@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import gzip
+import os
+import signal
+import subprocess
+import sys
 from decimal import Decimal
 from pathlib import Path
 
@@ -13,13 +17,14 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tillwatch.__main__ import run
+from tillwatch.__main__ import landed, run
 from tillwatch.functions.timekeys import epoch_micros, epoch_seconds, from_epoch_micros
 from tillwatch.params import AgentImbalance, RuleSettings, Structuring, settings_from_json
 from tillwatch.plans.models import TABLES, Models, write_all, write_readouts
 from tillwatch.sources import feed as feeds
 from tillwatch.sources import store
 from tillwatch.sources.feed import Feed
+from tillwatch.sources.releases import Releases
 
 LOADED = dt.datetime(2026, 3, 1)
 FEED = """transaction_id,timestamp,customer_id,agent_id,counterparty_customer_id,txn_type,amount,region
@@ -234,3 +239,180 @@ def test_the_jobs_read_outs_equal_the_queries(spark, tmp_path):
         sql = entry.oracle_sql()[QUERY_OF.get(name, name)]
         assert compare.spark_result(df) == compare.duck_result(con, sql), name
     models.store.clear()
+
+
+# --- releases -------------------------------------------------------------------------------
+
+
+def snapshot(release):
+    return {name: rows(release.read(name)) for name in release.tables}
+
+
+def test_a_run_is_published_as_a_whole(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    releases = Releases(spark, out)
+    assert releases.release() is None and releases.numbers() == []
+    written = run(spark, str(folder), out, as_of=dt.date(2026, 3, 1))
+    first = releases.release()
+    assert first.number == 1 and len(first.tables) == len(written)
+    assert rows(first.read("dim_customers")) == rows(written["dim_customers"])
+    assert first.read("readouts/kpis").first()["total_transactions"] == 2
+    with pytest.raises(KeyError):
+        first.path("no such table")
+
+    with gzip.open(folder / "transactions.csv.gz", "wt") as feed:
+        feed.write(FEED + "TXN_3,2026-01-01T15:00:00,CUS0000002,,,bill_pay,1.00,North\n")
+    run(spark, str(folder), out, as_of=dt.date(2026, 3, 1))
+    second = releases.release()
+    assert second.number == 2 and second.read("fct_transactions").count() == 3
+    # Who has opened the first release still reads it.
+    assert first.read("fct_transactions").count() == 2
+    assert releases.release(1).run == first.run
+
+
+DIES = """
+import datetime as dt, os, signal, sys
+from pyspark.sql import SparkSession
+from tillwatch import __main__ as job
+from tillwatch.plans import models
+
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[3]).getOrCreate())
+write = models.write_fact
+
+def killed(*args):
+    write(*args)
+    os.kill(os.getpid(), signal.SIGKILL)
+
+models.write_fact = killed
+job.run(spark, sys.argv[1], sys.argv[2], as_of=dt.date(2026, 3, 1))
+"""
+
+
+def test_a_killed_run_leaves_the_old_one_whole(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, str(folder), out, as_of=dt.date(2026, 3, 1))
+    before = snapshot(Releases(spark, out).release())
+    with gzip.open(folder / "transactions.csv.gz", "wt") as feed:
+        feed.write(FEED.replace("120.50", "99.50"))
+    root = str(Path(entry.__file__).parent)
+    ended = subprocess.run(
+        [sys.executable, "-c", DIES, str(folder), out, str(tmp_path / "shared")],
+        cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, timeout=600,
+    )
+    assert ended.returncode == -signal.SIGKILL
+    runs = list((tmp_path / "out" / "runs").iterdir())
+    assert len(runs) == 2, "the killed run has written some of its tables"
+    releases = Releases(spark, out)
+    assert releases.numbers() == [1] and snapshot(releases.release()) == before
+    run(spark, str(folder), out, as_of=dt.date(2026, 3, 1))
+    assert rows(releases.release().read("fct_transactions"), "amount")[1] == (Decimal("99.50"),)
+
+
+def test_a_failed_run_publishes_nothing(spark, folder, tmp_path):
+    out = tmp_path / "out"
+    with gzip.open(folder / "transactions.csv.gz", "wt") as feed:
+        feed.write(FEED + "TXN_3,not a time,CUS0000001,,,bill_pay,1.00,North\n")
+    with pytest.raises(Exception, match="(?i)malformed|cast|parse"):
+        run(spark, str(folder), str(out))
+    assert Releases(spark, str(out)).release() is None
+    assert not (out / "runs").exists() or not list((out / "runs").iterdir())
+
+
+def test_old_releases_are_pruned(spark, tmp_path):
+    releases = Releases(spark, str(tmp_path))
+    runs = []
+    for i in range(4):
+        runs.append(releases.new_run())
+        spark.range(i).write.parquet(f"{runs[-1]}/t")
+        assert releases.publish(runs[-1], ["t"]).number == i + 1
+    assert releases.prune(2) == [1, 2] and releases.numbers() == [3, 4]
+    assert [Path(r).exists() for r in runs] == [False, False, True, True]
+    assert releases.release().read("t").count() == 3 and releases.release(3).read("t").count() == 2
+    assert releases.prune(5) == []
+    with pytest.raises(ValueError):
+        releases.prune(0)
+
+
+# --- lines that do not fit ------------------------------------------------------------------
+
+
+def test_bad_lines_are_set_aside_and_listed(spark, folder, tmp_path):
+    bad = [
+        "TXN_3,not a time,CUS0000001,,,bill_pay,1.00,North",
+        "TXN_4,2026-01-01T15:00:00,CUS0000001,,,bill_pay,much,North",
+        "TXN_5,2026-01-01T15:00:00,CUS0000001",
+    ]
+    with gzip.open(folder / "transactions.csv.gz", "wt") as feed:
+        feed.write(FEED + "\n".join(bad) + "\n")
+    with open(folder / "customers.csv", "a") as feed:
+        feed.write("CUS0000009,tier_1,North,some day\n")
+    out = str(tmp_path / "out")
+    written = run(spark, str(folder), out, as_of=dt.date(2026, 3, 1), set_aside=True)
+    assert rows(written["fct_transactions"], "transaction_id") == [("TXN_1",), ("TXN_2",)]
+    assert written["dim_customers"].count() == 2
+    listed = rows(written["rejected"], "relation", "line")
+    assert listed == sorted([("raw.transactions", line) for line in bad] + [("raw.customers", "CUS0000009,tier_1,North,some day")], key=repr)
+    files = {Path(r.file).name for r in written["rejected"].collect()}
+    assert files == {"transactions.csv.gz", "customers.csv"}
+    counted = written["dq_violations"].where("check_name = 'well_formed'").groupBy("relation").sum("row_count")
+    assert rows(counted) == [("raw.customers", 1), ("raw.transactions", 3)]
+    assert "rejected" in Releases(spark, out).release().tables
+
+
+def test_good_lines_are_all_kept(spark, folder):
+    feed = Feed(
+        feeds.read_agents(spark, str(folder / "agents.csv"), LOADED, set_aside=True),
+        feeds.read_customers(spark, str(folder / "customers.csv"), LOADED, set_aside=True),
+        feeds.read_transactions(spark, str(folder / "transactions.csv.gz"), LOADED, set_aside=True),
+        feeds.read_ground_truth(spark, str(folder / "fraud_ground_truth.csv.gz"), set_aside=True),
+    )
+    kept = store.Store(spark)
+    land, strict = landed(feed, kept), read(spark, folder)
+    assert land.rejected.count() == 0
+    for name in ("agents", "customers", "transactions", "ground_truth"):
+        assert rows(getattr(land, name)) == rows(getattr(strict, name))
+    assert feeds.read_ground_truth(spark, str(folder / "missing.csv.gz"), set_aside=True) is None
+    kept.clear()
+
+
+def test_a_wrong_header_still_ends_the_run(spark, folder):
+    (folder / "customers.csv").write_text("customer_id,home_region,kyc_tier,registration_date\nc,North,tier_1,2025-01-10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        feeds.read_customers(spark, str(folder / "customers.csv"), set_aside=True).collect()
+
+
+# --- the fact table's layout ----------------------------------------------------------------
+
+
+def test_fact_layout(spark, tmp_path):
+    hot = F.col("id") % 3 == 0
+    df = spark.range(30_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("customer_id"),
+        F.lit(None).cast("string").alias("agent_id"),
+        F.when(F.col("id") % 1_000 > 0, F.date_add(F.lit(dt.date(2026, 1, 1)), F.when(F.col("id") % 7 == 0, F.lit(1)).otherwise(F.lit(0)))).alias("txn_date"),
+    )
+    df.write.parquet(str(tmp_path / "txns"))
+    txns = spark.read.parquet(str(tmp_path / "txns"))
+    laid = store.fact_layout(txns, store.rows_per_day(txns).where("txn_date is not null"), rows_per_file=2_000)
+    assert rows(laid) == rows(txns)
+    assert "rangepartitioning" not in laid._jdf.queryExecution().toString()
+    placed = laid.withColumn("at", F.spark_partition_id())
+    # A customer's day is in one place, but for the hot one's where partitions of its size are split.
+    spread = placed.where("txn_date is not null").groupBy("txn_date", "customer_id").agg(F.countDistinct("at").alias("n"))
+    assert spread.agg(F.max("n")).first()[0] == 1
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        placed = store.fact_layout(txns, store.rows_per_day(txns), rows_per_file=2_000).withColumn("at", F.spark_partition_id())
+        sizes = [r["count"] for r in placed.where("customer_id = 'hot'").groupBy("at").count().collect()]
+        assert sum(sizes) == 10_000 and len(sizes) > 3
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    fact = store.write_fact(txns, str(tmp_path / "fact"), store.rows_per_day(txns), rows_per_file=2_000)
+    assert rows(fact) == rows(txns)
+    for file in (tmp_path / "fact").glob("txn_date=2026-01-01/*.parquet"):
+        own = [r[0] for r in spark.read.parquet(str(file)).select("customer_id").collect()]
+        assert own == sorted(own)

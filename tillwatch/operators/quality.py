@@ -54,6 +54,18 @@ def orphans(child: DataFrame, relation: str, column: str, parent: DataFrame, key
     return _offences(used.join(known, "value", "left_anti"), "foreign_key", relation, column)
 
 
+def malformed(rejected: DataFrame) -> DataFrame:
+    """The lines that could not be read, as offences of their relation."""
+    lines = rejected.groupBy("relation", F.col("line").alias("value")).agg(F.count("*").alias("rows"))
+    return lines.select(
+        F.lit("well_formed").alias("check_name"),
+        "relation",
+        F.lit(None).cast("string").alias("column_name"),
+        F.col("value").alias("offending_value"),
+        F.col("rows").alias("row_count"),
+    )
+
+
 def violations(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -89,9 +89,9 @@ def foreign_key_report(models: Models) -> DataFrame:
 
 
 def violations(models: Models) -> DataFrame:
-    """The offending values of every check."""
-    tables = relations(models)
-    return quality.offences(
+    """The offending values of every check, and the lines that could not be read."""
+    tables, rejected = relations(models), getattr(models.feed, "rejected", None)
+    found = quality.offences(
         tables,
         [
             *_unique(tables),
@@ -100,3 +100,4 @@ def violations(models: Models) -> DataFrame:
             *_references(),
         ],
     )
+    return found if rejected is None else found.unionByName(quality.malformed(rejected))

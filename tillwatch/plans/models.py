@@ -17,7 +17,7 @@ from tillwatch.operators import alerts, evaluation, marts, readouts, rules, stag
 from tillwatch.operators.copies import repeat_rows
 from tillwatch.params import RuleSettings
 from tillwatch.sources.feed import Feed
-from tillwatch.sources.store import Store, as_files, write_fact
+from tillwatch.sources.store import Store, as_files, rows_per_day, write_fact
 
 
 class Models:
@@ -220,6 +220,11 @@ class Models:
     def fct_transactions(self) -> DataFrame:
         return marts.fct_transactions(self.stg_transactions, self.stg_customers, self.stg_agents)
 
+    @cached_property
+    def day_rows(self) -> DataFrame:
+        """The number of transactions of each day, from the daily mart."""
+        return rows_per_day(self.transaction_velocity_daily, "txn_count")
+
     @cached_property
     def agent_daily_health(self) -> DataFrame:
         return marts.agent_daily_health(
@@ -260,7 +265,7 @@ def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
     for name in TABLES:
         put(name, as_files(getattr(models, name), f"{folder}/{name}"))
     models.__dict__["kept_summary"] = written["fraud_alert_summary"]
-    put("fct_transactions", write_fact(models.fct_transactions, f"{folder}/fct_transactions"))
+    put("fct_transactions", write_fact(models.fct_transactions, f"{folder}/fct_transactions", models.day_rows))
     if models.feed.ground_truth is not None:
         put("fraud_rule_evaluation", as_files(models.fraud_rule_evaluation, f"{folder}/fraud_rule_evaluation"))
     return written

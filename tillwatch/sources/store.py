@@ -8,8 +8,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FACT_CLUSTER = ("customer_id", "agent_id")
+ROWS_PER_FILE = 1_000_000
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -27,22 +29,48 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def write_fact(txns: DataFrame, path: str) -> DataFrame:
-    """Store transactions in a folder per day, clustered by customer and agent.
+def rows_per_day(rows: DataFrame, count: str | None = None) -> DataFrame:
+    """txn_date and its number of rows, or the sum of a `count` column over its rows."""
+    return rows.groupBy("txn_date").agg((F.sum(count) if count else F.count("*")).alias("day_rows"))
+
+
+def fact_layout(txns: DataFrame, days: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """The transactions dealt out as they are written: by day, and by customer within a day of several files.
 
-    Ranges over (day, customer, agent, transaction) cut busy days and busy customers into
-    several files, and put a quiet day into one.
+    The rows of a day decide how many files it gets, so nothing is sampled and `txns` is computed once. The
+    rows of a customer's day meet in one file, unless they are more than Spark wants in a partition: it splits
+    such partitions, and merges small ones, once it sees their sizes.
     """
-    (
-        txns.repartitionByRange("txn_date", *FACT_CLUSTER, "transaction_id")
+    files = days.select("txn_date", F.ceil(F.col("day_rows") / rows_per_file).alias("_files"))
+    file = F.pmod(F.xxhash64("customer_id"), F.greatest(F.coalesce("_files", F.lit(1)), F.lit(1)))
+    return (
+        txns.join(files, "txn_date", "left")
+        .withColumn("_file", file)
+        .hint("rebalance", F.col("txn_date"), F.col("_file"))
         .sortWithinPartitions("txn_date", *FACT_CLUSTER)
-        .write.mode("overwrite")
-        .partitionBy("txn_date")
-        .parquet(path)
+        .select(*txns.columns)
     )
+
+
+def write_fact(
+    txns: DataFrame, path: str, days: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """Store transactions in a folder per day, clustered by customer and agent.
+
+    `days` is the number of rows of each day (`rows_per_day`), where it is known; else they are counted.
+    """
+    fact_layout(txns, rows_per_day(txns) if days is None else days, rows_per_file).write.mode("overwrite").partitionBy(
+        "txn_date"
+    ).parquet(path)
     return txns.sparkSession.read.schema(txns.schema).parquet(path).select(*txns.columns)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see, as named in spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -70,8 +98,7 @@ class Store:
     def folder(self, name: str) -> str:
         """A new folder of the store."""
         folder = f"{shared_folder(self.spark).rstrip('/')}/tillwatch/{name}-{uuid.uuid4().hex}"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system, path = file_system(self.spark, folder)
         system.deleteOnExit(path)
         self._paths.append((system, path))
         return folder
