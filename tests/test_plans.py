@@ -125,14 +125,14 @@ def test_both_gaps_share_their_scans(spark, models, tmp_path):
 
 
 class RecordingStore(Store):
-    """Remembers the plans of what it keeps."""
+    """Remembers the plans and files of what it keeps."""
 
     def __init__(self, spark):
         super().__init__(spark)
         self.kept = []
 
     def keep(self, df, name):
-        self.kept.append((name, plan(df)))
+        self.kept.append((name, plan(df), " ".join(df.inputFiles())))
         return super().keep(df, name)
 
 
@@ -142,13 +142,13 @@ def test_the_job_joins_each_rules_starts_once(spark, tmp_path):
     models = Models(entry._feed(spark, SF), *settings)
     write_all(models, str(tmp_path))
     write_readouts(models, str(tmp_path))
-    names = [name for name, _ in kept.kept]
+    names = [name for name, _, _ in kept.kept]
     assert len(names) == len(set(names)), "nothing is kept twice"
-    plans = dict(kept.kept)
+    plans = {name: text for name, text, _ in kept.kept}
     # The union of the flags reads what was written, and so do the analyst's flags.
     assert "Join" not in plans["flags"] and "Window" not in plans["flags"]
-    assert [name for name, text in kept.kept if "velocity_starts" in text] == ["velocity_edges"]
-    assert [name for name, text in kept.kept if "structuring_starts" in text] == ["structuring_edges"]
+    for rule in ("velocity", "structuring"):
+        assert [name for name, _, files in kept.kept if f"{rule}_starts" in files] == [f"{rule}_edges"]
     kept.clear()
 
 
