@@ -4,15 +4,16 @@ The vocabulary is a file of ranks (base64 of a token's bytes, and its number). T
 works on characters, so each byte is mapped to a printable one; every split of a token into two tokens
 is a merge, in the order of the ranks. Texts are cut by a pattern, and each piece is encoded by
 itself. The pattern never looks past a single space between two words, so a text is first cut there;
-such words repeat a lot, and a worker remembers the last ones (at most `REMEMBERED`, and of them
-and their pieces about `REMEMBERED_CHARS` characters).
+such words repeat a lot, and a worker remembers what they are encoded and decoded to, in two generations of
+bounded size: when the younger one is full the older one goes, and words that are met move up. New words go to
+the library together, many in one text.
 
 The library breaks ties between two ways of forming the same token by the order of its merges, rank
 files by the position in the text. That matters only where parts x, y, z stand in a row and xy = yz
 is a token, x not being y. Pieces that hold such an xyz are merged by rank and position here.
 
-Decoding looks ids up in the byte table and joins bytes; characters that were split over tokens come
-together again, and only then are bytes read as UTF-8.
+Decoding turns the characters of each id's token into bytes by the reversed byte table and joins them; characters
+that were split over tokens come together again, and only then are bytes read as UTF-8.
 
 Nulls: a null text is encoded as an empty one, which has no ids. Repeated rows give repeated rows, other
 columns are not read, an empty table gives an empty result. No special tokens are added, and their
@@ -26,7 +27,7 @@ import gc
 import hashlib
 import heapq
 import re
-from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
@@ -43,9 +44,15 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from tillwatch.llm.common import arrow_rows, map_arrow, text_of
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 400_000
+#: Words of a generation that a worker remembers, and their characters; longer words are not remembered.
+REMEMBERED, LONGEST = 600_000, 200
 REMEMBERED_CHARS = 16 * REMEMBERED
-STEP = REMEMBERED // 4
+#: Characters of the texts whose new words are learnt together, and pieces in one text for the library.
+CHARS, TOGETHER = 500_000, 200
+#: Stands between pieces there, and is a token of its own.
+_BETWEEN = "\x00"
+#: What often ends a word, and is a piece of its own after letters.
+_ENDS = frozenset(".,;:!?")
 _GAP = re.compile(r"\s ").search
 
 
@@ -66,10 +73,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _packed(ids: list[int]) -> bytes:
-    return array("i", ids).tobytes()
-
-
 def _words(text: str) -> list[str]:
     """The text cut at each space that has no other white space beside it; the first part has none before it."""
     parts = text.split(" ")
@@ -84,17 +87,28 @@ def _words(text: str) -> list[str]:
     return [*out, " ".join(run)] if run else out
 
 
+#: What a piece or a word is encoded to: its ids as text, each with a comma, and the bytes that they decode to.
+Piece = tuple[str, bytes]
+
+
 class Codec:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
         self.pieces = regex.compile(pattern).findall
-        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
-        self.digits = {rank: str(rank) for rank in self.bytes_of}
-        self.known: dict[str, bytes] = {}  # ids of pieces, as the bytes of an array
-        self.spaced: dict[str, bytes] = {}  # ids of words after a space
+        self.library = self._library()
+        characters = {c: b for b, c in byte_characters().items()}
+        #: The bytes of each id: the characters of its token, read back by the reversed byte table.
+        self.bytes_of = {
+            rank: bytes(map(characters.__getitem__, token)) for token, rank in self.library.get_vocab().items()
+        }
+        self.listed = {rank: f"{rank}," for rank in self.bytes_of}
+        #: With the token that stands between pieces written as itself.
+        self.listed_apart = self.listed | {self.ranks[_BETWEEN.encode()]: _BETWEEN}
+        self.spaced: dict[str, Piece] = {}  # words after a space
+        self.spaced_before: dict[str, Piece] = {}
+        self.known: dict[str, Piece] = {}  # pieces without a space before them
         self.known_chars = self.spaced_chars = 0
         self.ties = self._ties()
-        self.library = self._library()
 
     def _library(self) -> Tokenizer:
         characters = byte_characters()
@@ -108,7 +122,12 @@ class Codec:
             merges += [(named(a), named(b)) for a, b in halves if a in self.ranks and b in self.ranks]
         vocab = {named(token): rank for token, rank in self.ranks.items()}
         library = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0))
-        library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        library.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.Split(_BETWEEN, "isolated"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         return library
 
     def _ties(self) -> ahocorasick.Automaton:
@@ -122,19 +141,32 @@ class Codec:
         found.make_automaton()
         return found
 
-    def _tied(self, raw: bytes) -> bool:
-        return self.ties.kind == ahocorasick.AHOCORASICK and next(self.ties.iter(raw.decode("latin-1")), None) is not None
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain = []
-        for piece in pieces:
-            raw = piece.encode()
-            if raw not in self.ranks and self._tied(raw):
-                self.known[piece] = _packed(self.by_rank(raw))
-            else:
-                plain.append(piece)
-        for piece, found in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            self.known[piece] = _packed(found.ids)
+    def _tied(self, pieces: list[bytes]) -> set[int]:
+        """The numbers of the pieces that hold such bytes."""
+        if self.ties.kind != ahocorasick.AHOCORASICK:
+            return set()
+        # What stands between them is no byte, so nothing is found across it.
+        ends = list(accumulate(len(p) + 1 for p in pieces))
+        joined = "\u0100".join(p.decode("latin-1") for p in pieces)
+        return {bisect_right(ends, at) for at, _ in self.ties.iter(joined)}
+
+    def _piece(self, ids: list[int]) -> Piece:
+        return "".join(map(self.listed.__getitem__, ids)), self.decode(ids)
+
+    def _learnt(self, pieces: list[str]) -> dict[str, Piece]:
+        """Pieces as they are encoded, many of them in one text for the library."""
+        raw = [p.encode() for p in pieces]
+        own = self._tied(raw)
+        own.update(i for i, r in enumerate(raw) if r in self.ranks or b"\x00" in r)
+        plain = [p for i, p in enumerate(pieces) if i not in own] if own else pieces
+        found = {pieces[i]: self._piece(self.by_rank(raw[i])) for i in own}
+        texts = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        encoded = self.library.encode_batch_fast([_BETWEEN.join(t) for t in texts], add_special_tokens=False)
+        for text, encoding in zip(texts, encoded, strict=True):
+            ids = encoding.ids
+            listed = "".join(map(self.listed_apart.__getitem__, ids)).split(_BETWEEN)
+            found.update(zip(text, zip(listed, self.decode(ids).split(b"\x00"), strict=True), strict=True))
+        return found
 
     def by_rank(self, raw: bytes) -> list[int]:
         """Merge the pair of lowest rank, the leftmost first, until none is left."""
@@ -166,36 +198,84 @@ class Codec:
             offer(i)
         return [self.ranks[raw[i : ends[i]]] for i in range(len(raw)) if alive[i]]
 
-    def _encode_pieces(self, words: list[str]) -> Iterator[bytes]:
-        """The ids of each word; no more words than are remembered."""
-        cut = [self.pieces(w) for w in words]
-        for i in range(0, len(cut), STEP):
-            step = cut[i : i + STEP]
-            needed = set(chain.from_iterable(step))
-            if len(self.known) + len(needed) > REMEMBERED or self.known_chars > REMEMBERED_CHARS:
-                self.known.clear()
-                self.known_chars = 0
-            new = [p for p in needed if p not in self.known]
-            self.known_chars += sum(map(len, new))
-            self._learn(new)
-            for pieces in step:
-                yield b"".join(map(self.known.__getitem__, pieces))
+    def _cut(self, words: Iterable[str]) -> tuple[list[str], dict[str, list[str]]]:
+        """Words that are one piece with the space before them, and the pieces of the others."""
+        whole, cut = [], {}
+        for word in words:
+            if word.isascii() and word.isalpha():
+                whole.append(word)
+            elif word[-1:] in _ENDS and word[:-1].isascii() and word[:-1].isalpha():
+                cut[word] = [f" {word[:-1]}", word[-1]]
+            else:
+                cut[word] = self.pieces(f" {word}")
+        return whole, cut
+
+    def _learn(self, words: set[str], firsts: list[str]) -> tuple[dict[str, Piece], list[Piece]]:
+        """The words after a space, and the texts' first words, as they are encoded.
+
+        What a piece is encoded to is taken from the word that is that piece, where it is known.
+        """
+        whole, cut = self._cut(words)
+        starts = [self.pieces(f) for f in firsts]
+        pieces, new = {}, [f" {w}" for w in whole]
+        for piece in set(chain.from_iterable(chain(cut.values(), starts))).difference(new):
+            if piece[0] == " ":
+                known = self.spaced.get(piece[1:]) or self.spaced_before.get(piece[1:])
+            else:
+                known = self.known.get(piece)
+            if known is None:
+                new.append(piece)
+            else:
+                pieces[piece] = known
+        learnt = self._learnt(new)
+        self._remember(
+            {p: found for p, found in learnt.items() if p[0] != " "},
+            {p[1:]: found for p, found in learnt.items() if p[0] == " " and len(p) <= LONGEST},
+        )
+        pieces |= learnt
+        out = {w: pieces[f" {w}"] for w in whole}
+        composed = {w: _joined([pieces[p] for p in own]) for w, own in cut.items()}
+        self._remember({}, {w: found for w, found in composed.items() if len(w) <= LONGEST})
+        return out | composed, [_joined([pieces[p] for p in own]) for own in starts]
+
+    def _remember(self, known: dict[str, Piece], words: dict[str, Piece]) -> None:
+        """Keep pieces and words for later texts; if there are too many, those not met since the last time go."""
+        for piece, found in known.items():
+            if len(piece) <= LONGEST:
+                if self.known_chars > REMEMBERED_CHARS or len(self.known) > REMEMBERED:
+                    self.known, self.known_chars = {}, 0
+                self.known[piece] = found
+                self.known_chars += len(piece)
+        chars = sum(map(len, words))
+        if self.spaced_chars + chars > REMEMBERED_CHARS or len(self.spaced) + len(words) > REMEMBERED:
+            self.spaced_before, self.spaced, self.spaced_chars = self.spaced, {}, 0
+        if chars > REMEMBERED_CHARS or len(words) > REMEMBERED:
+            return
+        self.spaced.update(words)
+        self.spaced_chars += chars
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[Piece]]:
+        """The words of each text as they are encoded; the new words of all of them are learnt together."""
+        cut, found, new = [], [], set()
+        for text in texts:
+            first, *words = _words(text)
+            pieces = list(map(self.spaced.get, words))
+            if None in pieces:
+                new.update([w for w, p in zip(words, pieces, strict=True) if p is None])
+            cut.append((first, words))
+            found.append(pieces)
+        again = {w: p for w in new if (p := self.spaced_before.get(w)) is not None}
+        learnt, firsts = self._learn(new - again.keys(), [first for first, _ in cut])
+        self._remember({}, again)
+        learnt |= again
+        for (_, words), pieces, first in zip(cut, found, firsts, strict=True):
+            if None in pieces:
+                pieces = [p or learnt[w] for w, p in zip(words, pieces, strict=True)]
+            yield [first, *pieces]
 
     def encode(self, text: str) -> list[int]:
-        first, *words = _words(text)
-        found = [next(self._encode_pieces([first]))]
-        for i in range(0, len(words), STEP):  # what one step needs is not forgotten within it
-            step = words[i : i + STEP]
-            needed = set(step)
-            if not needed <= self.spaced.keys():
-                if len(self.spaced) + len(needed) > REMEMBERED or self.spaced_chars > REMEMBERED_CHARS:
-                    self.spaced.clear()
-                    self.spaced_chars = 0
-                new = [w for w in needed if w not in self.spaced]
-                self.spaced_chars += sum(map(len, new))
-                self.spaced.update(zip(new, self._encode_pieces([f" {w}" for w in new]), strict=True))
-            found += map(self.spaced.__getitem__, step)
-        return array("i", b"".join(found)).tolist()
+        (pieces,) = self.encode_all([text])
+        return list(map(int, "".join([listed for listed, _ in pieces]).split(",")[:-1]))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -208,6 +288,25 @@ class Codec:
         return [e - s for e, s in zip(ends, split, strict=False)]
 
 
+def _joined(pieces: list[Piece]) -> Piece:
+    if len(pieces) == 1:
+        return pieces[0]
+    return "".join([listed for listed, _ in pieces]), b"".join([decoded for _, decoded in pieces])
+
+
+def _together(texts: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows whose second value is a text, about `CHARS` characters at a time."""
+    held, chars = [], 0
+    for row in texts:
+        held.append(row)
+        chars += len(row[1])
+        if chars > CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 @contextmanager
 def rare_collection():
     """Collect cycles only at the end: the many small results of a batch make none."""
@@ -258,15 +357,17 @@ def round_trip(documents: DataFrame, ranks: str = RANKS, pattern: str = public_t
     def make(batch: pa.RecordBatch) -> Iterator[tuple]:
         own = codec(public_tokenizers.path(ranks), pattern)
         with rare_collection():
-            for doc_id, text in zip(*batch.columns, strict=True):
-                ids = own.encode(text.as_py())
-                listed = ",".join(map(own.digits.__getitem__, ids))
-                yield (
-                    doc_id.as_py(),
-                    len(ids),
-                    hashlib.sha256(listed.encode()).hexdigest(),
-                    hashlib.sha256(own.decode(ids)).hexdigest(),
-                )
+            rows = ((doc_id.as_py(), text.as_py()) for doc_id, text in zip(*batch.columns, strict=True))
+            for held in _together(rows):
+                for (doc_id, _), pieces in zip(held, own.encode_all([t for _, t in held]), strict=True):
+                    ids, decoded = zip(*pieces, strict=True)
+                    listed = "".join(ids)
+                    yield (
+                        doc_id,
+                        listed.count(","),
+                        hashlib.sha256(listed[:-1].encode()).hexdigest(),
+                        hashlib.sha256(b"".join(decoded)).hexdigest(),
+                    )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
