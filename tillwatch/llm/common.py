@@ -50,10 +50,10 @@ def numbered_copies(df: DataFrame, count: str, number: str) -> DataFrame:
     Rows that occur very often are cut into blocks, which are spread before they unfold.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = [c for c in df.columns if c != count]
-    blocks = df.withColumn("_block", F.explode(F.expr(f"sequence(0L, (`{count}` - 1) div {BLOCK})")))
-    spread = blocks.repartition(partitions, F.xxhash64(*rest), "_block")
-    first = F.col("_block") * BLOCK
+    rest, block = [c for c in df.columns if c != count], unused("_block", df.columns)
+    blocks = df.withColumn(block, F.explode(F.expr(f"sequence(0L, (`{count}` - 1) div {BLOCK})")))
+    spread = blocks.repartition(partitions, F.xxhash64(*rest), block)
+    first = F.col(block) * BLOCK
     last = F.least(F.col(count).cast("long"), first + BLOCK) - 1
     return spread.select(*rest, F.explode(F.sequence(first, last)).alias(number))
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import numbered_copies, text_of, unused
+from tillwatch.llm.common import BLOCK, numbered_copies, text_of, unused
 from tillwatch.sources.store import Store
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -202,8 +202,16 @@ def _by_source(rows: DataFrame, goal: DataFrame, *columns: str) -> DataFrame:
 
 
 def mix(documents: DataFrame, **settings) -> DataFrame:
-    """The documents with the columns they had, each as often as the mix takes it."""
-    key, number = (unused(f"_{k}", documents.columns) for k in ("key", "number"))
+    """The documents with the columns they had, each as often as the mix takes it.
+
+    Rows that agree in doc_id, text and source share the copies that are taken of them all: as even as whole
+    numbers can be, and the first by a hash of all columns get one more. Wholly equal rows are one row with a
+    count until they unfold, in blocks if there are very many; so no order of the input matters, and no
+    group of copies meets in one task.
+    """
+    key, row, n, before, taken, first = (
+        unused(f"_{k}", documents.columns) for k in ("key", "row", "n", "before", "taken", "first")
+    )
 
     def keyed(doc_id: str, source: str, text_hash: Column) -> Column:
         none = F.lit("")
@@ -215,15 +223,32 @@ def mix(documents: DataFrame, **settings) -> DataFrame:
             F.coalesce(F.col(source).cast("string"), none),
         )
 
+    store = Store(documents.sparkSession)
     per_key = (
         copies(documents, **settings)
-        .where("copies > 0")
-        .select(keyed("doc_id", "source", F.col("text_hash")).alias(key), "copy", "copies")
+        .groupBy(keyed("doc_id", "source", F.col("text_hash")).alias(key))
+        .agg(F.sum("copies").alias("all"), F.count("*").alias("rows"))
+        .where(F.col("all") > 0)
     )
-    per_key = Store(documents.sparkSession).keep(per_key, "taken")
-    same = Window.partitionBy(key).orderBy(F.lit(0))
-    rows = documents.withColumn(key, keyed("doc_id", "source", F.xxhash64(text_of())))
-    numbered = rows.withColumn(number, (F.row_number().over(same) - 1).cast("long"))
-    renamed = per_key.withColumnsRenamed({"copy": number, "copies": f"{number}_n"})
-    each = F.explode(F.sequence(F.lit(1), F.col(f"{number}_n").cast("int"))).alias(f"{number}_i")
-    return numbered.join(renamed, [key, number]).select(*documents.columns, each).drop(f"{number}_i")
+    rows = documents.select(
+        "*", keyed("doc_id", "source", F.xxhash64(text_of())).alias(key), F.xxhash64(*documents.columns).alias(row)
+    )
+    in_key = Window.partitionBy(key).orderBy(row).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    distinct = rows.groupBy(key, row).agg(F.count("*").alias(n)).withColumn(before, F.sum(n).over(in_key) - F.col(n))
+    extra = F.greatest(F.lit(0), F.least(F.col(n), F.col("all") % F.col("rows") - F.col(before)))
+    share = store.keep(
+        distinct.join(per_key, key)
+        .select(key, row, (F.expr("`all` div `rows`") * F.col(n) + extra).alias(taken))
+        .where(F.col(taken) > 0),
+        "taken",
+    )
+    few, many = share.where(F.col(taken) <= BLOCK), share.where(F.col(taken) > BLOCK)
+
+    def once(df: DataFrame) -> DataFrame:
+        same = Window.partitionBy(key, row).orderBy(F.lit(0))  # equal in all columns
+        return df.withColumn(first, F.row_number().over(same)).where(F.col(first) == 1).drop(first)
+
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(taken))).alias(first)
+    unfolded = once(rows).join(few, [key, row]).select(*documents.columns, each).drop(first)
+    heavy = once(rows.join(many, [key, row])).select(*documents.columns, taken)
+    return unfolded.unionByName(numbered_copies(heavy, taken, first).select(*documents.columns))

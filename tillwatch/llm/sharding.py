@@ -3,8 +3,8 @@
 Every record hashes into one of `SLOTS` virtual slots and stays there for good. Bytes are summed per
 slot, and a slot-to-shard map says where a slot lives. The map starts even (slot mod shards) and is
 edited when it is rebalanced: slots move from the heaviest shard to the lightest until shards weigh
-nearly the same. Every edit is a new version; versions are kept as rows (version, slot, shard) in one
-table, so an older placement can still be read. The sums and the map have one row per slot, a fixed
+nearly the same. Every edit is a new version, kept as rows (version, slot, shard) in a folder of its own,
+so an older placement can still be read, and a later run opens the map and goes on from its last version. The sums and the map have one row per slot, a fixed
 number, and only they reach the driver.
 
 Nulls: a null doc_id hashes like a value; a null text has no bytes. Repeated rows are numbered, so that
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import numbered_copies, text_of
-from tillwatch.sources.store import Store
+from tillwatch.sources.store import Store, file_system
 
 SLOTS = 8_192
 SHARDS = 24
@@ -31,20 +31,38 @@ MAP = "version int, slot int, shard int"
 
 
 class SlotMap:
-    """A versioned map from slots to shards, stored as Parquet, one file set per version."""
+    """A versioned map from slots to shards, stored as Parquet, one file set per version.
+
+    A path that has a map already is opened at its last version, and edits continue from there. Each version
+    is whole or not there; one that a lost writer has left unfinished is not read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path, -1
+        self.spark, self.path, self.version = spark, path.rstrip("/"), -1
         self.shard: list[int] = []
+        system, folder = file_system(spark, self.path)
+        if system.exists(folder):
+            names = [status.getPath().getName() for status in system.listStatus(folder)]
+            for version in sorted((int(n) for n in names if n.isdigit()), reverse=True):
+                if system.exists(file_system(spark, f"{self._of(version)}/_SUCCESS")[1]):
+                    self.version = version
+                    self.shard = [r.shard for r in self.read().orderBy("slot").collect()]  # a row for each slot
+                    break
+
+    def _of(self, version: int) -> str:
+        return f"{self.path}/{version:06d}"
 
     def publish(self, shard: list[int]) -> None:
-        self.version, self.shard = self.version + 1, list(shard)
-        rows = [(self.version, slot, to) for slot, to in enumerate(shard)]
-        self.spark.createDataFrame(rows, MAP).coalesce(1).write.mode("append").parquet(self.path)
+        if self.shard and len(shard) != len(self.shard):
+            raise ValueError(f"the map has {len(self.shard)} slots, not {len(shard)}")
+        version = self.version + 1
+        rows = [(version, slot, to) for slot, to in enumerate(shard)]
+        self.spark.createDataFrame(rows, MAP).coalesce(1).write.mode("overwrite").parquet(self._of(version))
+        self.version, self.shard = version, list(shard)
 
     def read(self, version: int | None = None) -> DataFrame:
         wanted = self.version if version is None else version
-        return self.spark.read.schema(MAP).parquet(self.path).where(F.col("version") == wanted).select("slot", "shard")
+        return self.spark.read.schema(MAP).parquet(self._of(wanted)).select("slot", "shard")
 
 
 def rebalanced(shard: list[int], load: list[int], shards: int, tolerance: float = TOLERANCE) -> list[int]:
@@ -141,10 +159,13 @@ def placed(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
+def shard(
+    documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS, slot_map: SlotMap | None = None
+) -> tuple[DataFrame, SlotMap]:
     """doc_id, size, text_crc32, copy, virtual_slot, shard, and the place within the shard; and the map.
 
-    Places have no gaps: a slot's rows follow those of the shard's slots before it.
+    Places have no gaps: a slot's rows follow those of the shard's slots before it. A map from an earlier run is
+    edited further, so few slots move; without one, or with an empty one, it starts even.
     """
     spark = documents.sparkSession
     store = Store(spark)
@@ -153,8 +174,12 @@ def shard(documents: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> tup
     load, count = [0] * slots, [0] * slots
     for slot, size, n in sums:
         load[slot], count[slot] = size, n
-    slot_map = SlotMap(spark, store.folder("slot_map"))
-    slot_map.publish([s % shards for s in range(slots)])
+    if slot_map is None:
+        slot_map = SlotMap(spark, store.folder("slot_map"))
+    if not slot_map.shard:
+        slot_map.publish([s % shards for s in range(slots)])
+    if len(slot_map.shard) != slots or max(slot_map.shard) >= shards:
+        raise ValueError(f"the map has {len(slot_map.shard)} slots in {max(slot_map.shard) + 1} shards")
     slot_map.publish(rebalanced(slot_map.shard, load, shards))
     first, ahead = [0] * slots, [0] * shards
     for slot, to in enumerate(slot_map.shard):

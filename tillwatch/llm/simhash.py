@@ -25,7 +25,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import arrow_rows, map_arrow, text_of, unused
@@ -264,20 +264,22 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents that stand for their components, with the columns they had.
 
-    Rows that repeat wholly share one representative, of which one row stays.
+    Of rows with the representative's doc_id and text the first by a hash of all columns stays, whatever the
+    order of the input; rows that repeat wholly are one.
     """
 
     def key(doc_id: str, text_hash: Column) -> Column:
         return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text_hash.cast("string"))
 
     representatives = near_duplicates(documents, shingle, radius).select("representative.*").distinct()
-    name = unused("_key", documents.columns)
+    name, first = unused("_key", documents.columns), unused("_first", documents.columns)
     kept = Store(documents.sparkSession).keep(
         representatives.select(key("doc_id", F.col("text_hash")).alias(name)), "representatives"
     )
     return (
         documents.withColumn(name, key("doc_id", F.xxhash64(text_of())))
         .join(kept, name, "left_semi")
-        .dropDuplicates([name])
+        .withColumn(first, F.row_number().over(Window.partitionBy(name).orderBy(F.xxhash64(*documents.columns))))
+        .where(F.col(first) == 1)
         .select(*documents.columns)
     )

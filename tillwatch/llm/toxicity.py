@@ -20,7 +20,8 @@ would add up, so a repeated word of `LENGTH` letters or more only adds what it f
 
 Nulls: a null or empty text has no sentence and scores as a sentence without any known subsequence; labels
 that are null, or of documents that are not there, are not learnt from. Repeated rows give repeated rows; of
-several labels of one document the largest counts. Without labels of both classes every score is 0. An empty
+several labels of one document the largest counts, and of several texts under one doc_id the largest is learnt from.
+Without labels of both classes every score is 0. An empty
 table gives an empty result. Columns other than doc_id and text are not read.
 """
 
@@ -61,9 +62,8 @@ THRESHOLD = 0.3
 #: Sentences end here; longer ones are cut, between words if these are not as long themselves.
 SENTENCE_END = re.compile(r"[.!?]+(?=\s|$)|[\n\r]+")
 SENTENCE_CHARS = 160
-#: Four or more letters with the same sign or blank between them, and how often one letter alone may be a word.
+#: Four or more letters with the same sign or blank between them.
 SET_APART = re.compile(r"(?<![^\W_])[^\W\d_]([^\w\n]|_)[^\W\d_](?:\1[^\W\d_]){2,}(?![^\W_])")
-SET_APART_MOST = 24
 #: Added to a sentence's length before the root, so that very short ones don't stand out by chance.
 PLAIN_CHARS = 24
 BATCH_CHARS = 1 << 17
@@ -73,11 +73,6 @@ GAPS = [(0, *rest) for rest in combinations(range(1, SPAN), LENGTH - 1)]
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
-def _closed(run: re.Match) -> str:
-    letters = run[0][::2]
-    return letters[0] if len(letters) > SET_APART_MOST and len(set(letters)) == 1 else letters
-
-
 def _parts(sentence: str) -> Iterator[str]:
     """Parts of about SENTENCE_CHARS; whatever spans at most SPAN characters stands whole in one of them."""
     start = 0
@@ -100,11 +95,10 @@ def sentences(text: str) -> list[str]:
     They start with a space, so that every word does; how a word begins can be told from what it holds. Only a
     part that begins within a very long word has none.
 
-    A word whose letters are all set apart is closed up first, as its span would exceed the kernel's. One letter
-    again and again is no word, and stands once.
+    A word whose letters are all set apart is closed up first, as its span would exceed the kernel's.
     """
     out = []
-    for sentence in SENTENCE_END.split(SET_APART.sub(_closed, text.lower())):
+    for sentence in SENTENCE_END.split(SET_APART.sub(lambda run: run[0][::2], text.lower())):
         words = sentence.split()
         if words:
             out.extend(_parts(f" {' '.join(words)}"))
@@ -398,9 +392,10 @@ def fit(documents: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUME
     ids = ids.union(usable.where("toxic = 0").orderBy(order, "doc_id").limit(max_documents))
     known = ids.select(F.col("doc_id").alias("_labelled"), "toxic")
     rows = (
-        documents.join(F.broadcast(known), F.col("doc_id") == F.col("_labelled"))
+        documents.select("doc_id", text_of().alias("text"))
+        .join(F.broadcast(known), F.col("doc_id") == F.col("_labelled"))
         .groupBy("doc_id")
-        .agg(F.max(text_of()).alias("text"), F.max("toxic").alias("toxic"))
+        .agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
         .orderBy("doc_id")
         .collect()  # at most 2 * max_documents rows
     )

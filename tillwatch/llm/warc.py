@@ -2,10 +2,15 @@
 
 Writing: each task writes one archive of gzip members, one per record, under a name of its own, and the
 job's commit lists the archives in a manifest. What lost or repeated tasks leave is never listed, so
-never read. The gzip header of a record carries its compressed length (the field `sl` of the format's
+never read. A later job that appends writes the next manifest, which lists the earlier archives too; one that
+overwrites lists its own alone. The manifest with the highest number counts, and it is there as a whole or not at
+all. One job at a time may write to a folder. The gzip header of a record carries its compressed length (the field `sl` of the format's
 annex), which lets a reader jump to the next record.
 
-Reading: the manifest's archives are the partitions. Filters on record type and other header columns are
+Reading: the manifest's archives are the partitions; in a folder without one, all its `.warc` and `.warc.gz` files,
+from wherever they come. Of those, whole files and members of several records can be read too. Record ids that
+are not of pages written here give a null page_id, and of records that are no HTTP response the block is the
+payload. Filters on record type and other header columns are
 pushed to the reader. A record's headers are parsed first, from the first bytes that unpack; if a
 filter rejects the record, or the schema asks for no payload, the rest is skipped without unpacking.
 
@@ -60,7 +65,7 @@ from tillwatch.llm.common import importable
 from tillwatch.sources.store import Store
 
 MIN_BYTES = 0
-MANIFEST = "manifest.json"
+MANIFEST = re.compile(r"manifest-(\d{8})\.json")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
@@ -127,13 +132,17 @@ def _page(urn: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
-class _Member:
-    """A gzip member of a file, unpacked as far as is asked for."""
+class _Packed:
+    """The records of gzip members, unpacked as far as is asked for. A record stands in one member."""
 
-    def __init__(self, file, start: int):
-        self.file, self.start = file, start
-        file.seek(start)
-        self.raw = file.read(HEAD)
+    def __init__(self, file, size: int):
+        self.file, self.size, self.ended = file, size, False
+        self._open(0)
+
+    def _open(self, at: int) -> None:
+        self.at = at
+        self.file.seek(at)
+        self.raw = self.file.read(HEAD)
         self.length = self._skip_length()
         self.unpacker = zlib.decompressobj(zlib.MAX_WBITS | 16)
         self.content = b""
@@ -143,35 +152,117 @@ class _Member:
             return None
         return struct.unpack("<I", self.raw[16:20])[0]
 
+    def _more(self) -> None:
+        raw = self.raw or self.file.read(1 << 16)
+        if not raw or self.unpacker.eof:
+            raise ValueError("the archive ends within a record")
+        self.raw = b""
+        self.content += self.unpacker.decompress(raw)
+
+    def next_record(self) -> bool:
+        """Go to the next record; False at the end of the archive."""
+        if self.ended:
+            return False
+        while not (content := self.content.lstrip(b"\r\n")):
+            self.content = b""
+            if not self.unpacker.eof:
+                self._more()
+                continue
+            following = self.file.tell() - len(self.unpacker.unused_data)
+            if following >= self.size:
+                return False
+            self._open(following)
+        self.content = content
+        return True
+
     def until(self, mark: bytes) -> bytes:
         """The content before the mark; what follows the mark stays."""
-        while mark not in self.content and not self.unpacker.eof:
+        while mark not in self.content:
             self._more()
         before, _, self.content = self.content.partition(mark)
         return before
 
-    def rest(self) -> bytes:
-        parts = [self.content]
-        while not self.unpacker.eof:
+    def take(self, n: int) -> bytes:
+        """The next n bytes of the content."""
+        parts, left = [], n
+        while left > len(self.content):
+            parts.append(self.content)
+            left -= len(self.content)
             self.content = b""
             self._more()
-            parts.append(self.content)
-        self.content = b""
+        parts.append(self.content[:left])
+        self.content = self.content[left:]
         return b"".join(parts)
 
-    def _more(self) -> None:
-        raw = self.raw or self.file.read(1 << 16)
-        if not raw:
+    def leave(self, n: int) -> None:
+        """Pass over the last n bytes of a record, without unpacking them if the member says how long it is."""
+        if self.length is not None:
+            self.at, self.content = self.at + self.length, b""
+            self.ended = self.at >= self.size
+            if not self.ended:
+                self._open(self.at)
+            return
+        while n:
+            n -= len(self.take(min(n, 1 << 16)))
+
+
+class _Plain:
+    """The records of an archive that is not compressed."""
+
+    def __init__(self, file, size: int):
+        self.file, self.size, self.at = file, size, 0
+
+    def next_record(self) -> bool:
+        while self.at < self.size:
+            self.file.seek(self.at)
+            found = self.file.read(64)
+            self.at += len(found) - len(found.lstrip(b"\r\n"))
+            if found.strip(b"\r\n"):
+                return True
+        return False
+
+    def until(self, mark: bytes) -> bytes:
+        self.file.seek(self.at)
+        content = b""
+        while mark not in content:
+            more = self.file.read(HEAD)
+            if not more:
+                raise ValueError("the archive ends within a record")
+            content += more
+        before = content.partition(mark)[0]
+        self.at += len(before) + len(mark)
+        return before
+
+    def take(self, n: int) -> bytes:
+        self.file.seek(self.at)
+        content = self.file.read(n)
+        if len(content) < n:
             raise ValueError("the archive ends within a record")
-        self.raw = b""
-        self.content += self.unpacker.decompress(raw)
+        self.at += n
+        return content
 
-    def end(self) -> int:
-        """Where the next member starts."""
-        if self.length is not None:
-            return self.start + self.length
-        self.rest()
-        return self.file.tell() - len(self.unpacker.unused_data)
+    def leave(self, n: int) -> None:
+        self.at += n
+
+
+class _Block:
+    """The block of a record, read as far as is asked for."""
+
+    def __init__(self, source, length: int):
+        self.source, self.left = source, length
+
+    def take(self, n: int) -> bytes:
+        n = min(n, self.left)
+        self.left -= n
+        return self.source.take(n)
+
+    def http(self) -> tuple[dict[str, str], bytes] | None:
+        """The headers of an HTTP message and what has been read after them; None if it has no end of headers."""
+        content = b""
+        while END not in content and self.left:
+            content += self.take(HEAD)
+        head, mark, rest = content.partition(END)
+        return (_headers(head), rest) if mark else None
 
 
 # --- data source ----------------------------------------------------------------------------
@@ -188,6 +279,16 @@ class _Archive(InputPartition):
     file: str
 
 
+def _listed(system: fs.FileSystem, folder: str) -> tuple[int, list[str] | None]:
+    """The number of the last manifest and the archives it lists; (0, None) without one."""
+    names = [f.base_name for f in system.get_file_info(fs.FileSelector(folder))]
+    number = max((int(m[1]) for m in map(MANIFEST.fullmatch, names) if m), default=0)
+    if not number:
+        return 0, None
+    with system.open_input_stream(f"{folder}/manifest-{number:08d}.json") as manifest:
+        return number, json.loads(manifest.read())
+
+
 class WarcSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -200,14 +301,14 @@ class WarcSource(DataSource):
         return WarcReader(schema, self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 class WarcWriter(DataSourceArrowWriter):
     """Rows of (page_id, url, payload, payload_length, payload_digest, refers_to)."""
 
-    def __init__(self, options):
-        self.path = options["path"]
+    def __init__(self, options, overwrite: bool = False):
+        self.path, self.overwrite = options["path"], overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         system, folder = fs.FileSystem.from_uri(self.path)
@@ -225,9 +326,12 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         system, folder = fs.FileSystem.from_uri(self.path)
         system.create_dir(folder, recursive=True)
+        number, listed = _listed(system, folder)
         files = sorted(m.file for m in messages if m is not None and m.records)
-        with system.open_output_stream(f"{folder}/{MANIFEST}", compression=None) as out:
-            out.write(json.dumps(files).encode())
+        draft = f"{folder}/.{uuid.uuid4().hex}"
+        with system.open_output_stream(draft, compression=None) as out:
+            out.write(json.dumps(files if self.overwrite else [*(listed or []), *files]).encode())
+        system.move(draft, f"{folder}/manifest-{number + 1:08d}.json")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         system, folder = fs.FileSystem.from_uri(self.path)
@@ -265,27 +369,31 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> Sequence[InputPartition]:
         system, folder = fs.FileSystem.from_uri(self.path)
-        with system.open_input_stream(f"{folder}/{MANIFEST}") as manifest:
-            return [_Archive(f) for f in json.loads(manifest.read())] or [_Archive("")]
+        _, listed = _listed(system, folder)
+        if listed is None:
+            names = [f.base_name for f in system.get_file_info(fs.FileSelector(folder)) if f.is_file]
+            listed = sorted(n for n in names if n.endswith((".warc", ".warc.gz")))
+        return [_Archive(f) for f in listed] or [_Archive("")]
 
     def read(self, partition: _Archive) -> Iterator[tuple]:
         if not partition.file:
             return
         system, folder = fs.FileSystem.from_uri(self.path)
         path = f"{folder}/{partition.file}"
-        size, at = system.get_file_info(path).size, 0
+        size = system.get_file_info(path).size
         with system.open_input_file(path) as file:
-            while at < size:
-                found = _Member(file, at)
-                row = self._row(found)
-                at = found.end()
+            source = (_Packed if path.endswith(".gz") else _Plain)(file, size) if size else None
+            while source and source.next_record():
+                head = _headers(source.until(END))
+                if "warc-type" not in head:
+                    raise ValueError(f"no record before byte {file.tell()} of {path}")
+                block = _Block(source, int(head.get("content-length", 0)))
+                row = self._row(head, block)
+                source.leave(block.left)
                 if row is not None:
                     yield row
 
-    def _row(self, found: _Member) -> tuple | None:
-        head = _headers(found.until(END))
-        if "warc-type" not in head:
-            raise ValueError(f"no record at byte {found.start}")
+    def _row(self, head: dict[str, str], block: _Block) -> tuple | None:
         sha1 = head.get("warc-payload-digest")
         target = head.get("warc-target-uri")
         values = {
@@ -302,16 +410,30 @@ class WarcReader(DataSourceReader):
         if not all(_TESTS[type(f)](f, values[f.attribute[0]]) for f in self.filters if f not in late):
             return None
         if late or self.verify or {"payload", "payload_length"} & set(self.columns):
-            values["payload_length"] = int(_headers(found.until(END)).get("content-length", 0))
-            if not all(_TESTS[type(f)](f, values["payload_length"]) for f in late):
+            http = "application/http" in head.get("content-type", "").lower()
+            message = block.http() if http else ({}, b"")
+            if message is not None:
+                headers, begun = message
+                whole = len(begun) + block.left
+                stated = headers.get("content-length", "")
+                revisit = values["record_type"] == "revisit"
+                values["payload_length"] = int(stated) if revisit and stated.isdigit() else None if revisit else whole
+                if not all(_TESTS[type(f)](f, values["payload_length"]) for f in late):
+                    return None
+                if not revisit and (self.verify or "payload" in self.columns):
+                    values["payload"] = begun + block.take(block.left)
+                    if self.verify and _is_sha1(sha1) and digest(values["payload"]) != values["payload_digest"]:
+                        raise ValueError(f"payload of page {values['page_id']} has another digest")
+            elif not all(_TESTS[type(f)](f, None) for f in late):
                 return None
-            if values["record_type"] == "response" and (self.verify or "payload" in self.columns):
-                values["payload"] = found.rest()[: -len(END)]
-                if self.verify and digest(values["payload"]) != values["payload_digest"]:
-                    raise ValueError(f"payload of page {values['page_id']} has another digest")
         return tuple(values[c] for c in self.columns)
 
 
+def _is_sha1(text: str | None) -> bool:
+    """Whether a payload digest is a SHA-1 in base 32, the only one that is checked."""
+    return bool(re.fullmatch(r"sha1:[A-Z2-7]{32}", text or ""))
+
+
 # --- operators ------------------------------------------------------------------------------
 
 
@@ -361,9 +483,13 @@ def records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     )
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
+def write(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, mode: str = "append") -> None:
+    """Write archives to a folder, beside those that are there or (`overwrite`) instead of them.
+
+    Pages refer to pages of the same call.
+    """
     register(pages.sparkSession)
-    records(pages, min_bytes).write.format("warc").mode("append").save(path)
+    records(pages, min_bytes).write.format("warc").mode(mode).save(path)
 
 
 def read(spark: SparkSession, path: str, schema: str = SCHEMA, verify: bool = False) -> DataFrame:
