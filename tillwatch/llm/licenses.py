@@ -5,8 +5,9 @@ shortest phrases have two words) is joined by hash with the places where that pa
 templates. A hit at word p of the text and word t of a template votes for the diagonal p - t. All
 pairs of a template on one diagonal mean that the whole phrase stands there. Diagonals at most `GAP`
 apart are merged, so that a span with words added or left out still gathers its votes; a merged span
-is verified by the share of the template's pairs it holds and by its length. Templates that differ in a word or
-two share most pairs, so a span must also hold one of the pairs that tell its template from each such sibling.
+is verified by the share of the template's pairs it holds and by its length. Licenses of a family differ in a word
+or in the version, so a license's name must stand word for word (on one diagonal), and a span must also hold
+one of the pairs that tell its template from each sibling that shares most of its pairs.
 
 Base templates count only where they stand word for word. The other templates give labels of their own
 where a span holds at least `COVERAGE` of them. The score is the largest share of any template, a base
@@ -44,20 +45,67 @@ BASE = {
     "mit license": "mit",
 }
 
-#: Phrase and label of the templates that are found with words added or left out.
+#: Phrase and label of the templates that are found with words added or left out; what stands in brackets is the
+#: name of the license, which must stand word for word.
 TEMPLATES = {
-    "licensed under the gnu general public license version 3": "gpl-3.0",
-    "licensed under the gnu general public license version 2": "gpl-2.0",
-    "licensed under the apache license version 2 0": "apache-2.0",
-    "released under the mit license": "mit-notice",
-    "licensed under cc by nc 4 0": "cc-by-nc-4.0",
-    "licensed under a creative commons attribution 4 0 international license": "cc-by-4.0",
+    "licensed under the [apache license version 2 0]": "apache-2.0",
+    "licensed under the [apache license 2 0]": "apache-2.0",
+    "released under the [mit license]": "mit-notice",
+    "licensed under the [boost software license version 1 0]": "bsl-1.0",
+    "accompanying materials are made available under the terms of the [eclipse public license v 2 0]": "epl-2.0",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
     "documentation files": "mit-text",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    "the software": "mit-text",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies": "isc",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the "
     "following conditions are met": "bsd",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission": "bsd-3-clause",
     "this source code form is subject to the terms of the mozilla public license": "mpl",
+    "this source code form is subject to the terms of the [mozilla public license v 2 0]": "mpl-2.0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
+#: The same sentences hold for several licenses of a family: name, short name and versions; name and short name.
+GNU = (
+    ("gnu general public license", "gpl", ("2", "3")),
+    ("gnu lesser general public license", "lgpl", ("2 1", "3")),
+    ("gnu affero general public license", "agpl", ("3",)),
+)
+CREATIVE = {
+    "attribution": "by",
+    "attribution sharealike": "by sa",
+    "attribution noderivatives": "by nd",
+    "attribution noncommercial": "by nc",
+    "attribution noncommercial sharealike": "by nc sa",
+    "attribution noncommercial noderivatives": "by nc nd",
+}
+for _name, _short, _versions in GNU:
+    for _version in _versions:
+        _label = f"{_short}-{_version.replace(' ', '.') if ' ' in _version else _version + '.0'}"
+        TEMPLATES[f"licensed under the [{_name} version {_version}]"] = _label
+        TEMPLATES[
+            f"you can redistribute it and or modify it under the terms of the [{_name} as published by the free software "
+            f"foundation either version {_version} of the license] or at your option any later version"
+        ] = f"{_label}-or-later"
+for _name, _short in CREATIVE.items():
+    for _version in ("3 0", "4 0"):
+        _label = f"cc-{_short.replace(' ', '-')}-{_version.replace(' ', '.')}"
+        TEMPLATES[f"licensed under [cc {_short} {_version}]"] = _label
+        _law = "international" if _version == "4 0" else "unported"
+        TEMPLATES[f"licensed under a [creative commons {_name} {_version}] {_law} license"] = _label
+
+
+def name_of(template: str) -> tuple[str, int, int]:
+    """A template's words without the brackets, and the first and last place of the pairs in them (1, 0: none)."""
+    before, bracket, rest = template.partition("[")
+    name, _, after = rest.partition("]")
+    phrase = " ".join(f"{before} {name} {after}".split())
+    if not bracket:
+        return phrase, 1, 0
+    first = len(before.split())
+    return phrase, first, first + len(name.split()) - K
 
 
 def lowered(text: Column) -> Column:
@@ -78,6 +126,7 @@ def telling_pairs(templates: dict[str, str], coverage: float = COVERAGE) -> dict
 
     Siblings are templates with another label that hold enough of the phrase's pairs to be taken for it.
     """
+    templates = {name_of(t)[0]: label for t, label in templates.items()}
     pairs = {phrase: list(zip(phrase.split(), phrase.split()[1:], strict=False)) for phrase in templates}
     out: dict[str, list[list[int]]] = {}
     for phrase, own in pairs.items():
@@ -93,15 +142,16 @@ def template_pairs(documents: DataFrame, base: dict[str, str], templates: dict[s
     """One row per template and place: the hash and words of the pair there."""
     rows = []
     for kind, phrases in (("base", base), ("own", templates)):
-        for phrase, label in phrases.items():
+        for template, label in phrases.items():
+            phrase, first, last = name_of(template)
             split = phrase.split()
             if len(split) < K:
                 raise ValueError(f"a phrase needs {K} words: {phrase!r}")
             rows += [
-                (kind, f"{kind}:{phrase}", label, len(split) - K + 1, at, a, b)
+                (kind, f"{kind}:{phrase}", label, len(split) - K + 1, first, last, at, a, b)
                 for at, (a, b) in enumerate(zip(split, split[1:], strict=False))
             ]
-    kinds = "kind string, template string, label string, pairs int, at int, a string, b string"
+    kinds = "kind string, template string, label string, pairs int, name_first int, name_last int, at int, a string, b string"
     return documents.sparkSession.createDataFrame(rows, kinds).withColumn("hash", F.xxhash64("a", "b"))
 
 
@@ -122,7 +172,7 @@ def hits(documents: DataFrame, base: dict[str, str], templates: dict[str, str])
     return (
         pairs.join(F.broadcast(places), "hash")
         .where("a = ta and b = tb")
-        .select("doc_id", "text_hash", "kind", "template", "label", "pairs", "pos", "at")
+        .select("doc_id", "text_hash", "kind", "template", "label", "pairs", "name_first", "name_last", "pos", "at")
         .distinct()
     )
 
@@ -185,25 +235,51 @@ def _listed(label: Column) -> Column:
 def _spans(found: DataFrame, gap: int, coverage: float, telling: dict[str, list[list[int]]]) -> DataFrame:
     """Merged diagonals of the templates that may be inexact, with their share of the template's pairs.
 
-    A span without a pair that tells its template from a sibling has less than `coverage`.
+    A span counts in full only if it holds the license's name on one diagonal, and a pair that tells its template
+    from each sibling; else it has less than `coverage`. A span of the right words is about as long as the
+    template; of a longer one the best single diagonal counts.
     """
     text = ["doc_id", "text_hash", "template", "label", "pairs"]
-    by_diagonal = found.withColumn("diagonal", F.col("pos") - F.col("at"))
-    in_order = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal", "pos")
+    in_name = F.col("at").between(F.col("name_first"), F.col("name_last"))
+    by_diagonal = (
+        found.groupBy(*text, "name_first", "name_last", (F.col("pos") - F.col("at")).alias("diagonal"))
+        .agg(
+            F.collect_set("at").alias("places"),
+            F.count_if(in_name).alias("of_name"),
+            F.min("pos").alias("first"),
+            F.max("pos").alias("last"),
+        )
+        .withColumn("named", F.col("of_name") == F.greatest(F.col("name_last") - F.col("name_first") + 1, F.lit(0)))
+    )
+    in_order = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(in_order) > gap
     merged = by_diagonal.withColumn("starts", F.coalesce(apart, F.lit(True)).cast("int")).withColumn(
         "span", F.sum("starts").over(in_order)
     )
-    spans = merged.groupBy(*text, "span").agg(
-        F.collect_set("at").alias("places"), F.min("diagonal").alias("diagonal"), F.min("pos").alias("first"), F.max("pos").alias("last")
+
+    def full(places: str, named: str) -> Column:
+        told = F.col(named)
+        for phrase, siblings in telling.items():
+            for lacking in siblings:
+                holds = F.arrays_overlap(places, F.array(*[F.lit(at).cast("int") for at in lacking]))
+                told = told & ((F.col("template") != f"own:{phrase}") | holds)
+        return told
+
+    alone = F.when(full("places", "named"), F.size("places") / F.col("pairs"))
+    spans = (
+        merged.withColumn("alone", alone)
+        .groupBy(*text, "span")
+        .agg(
+            F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"),
+            F.max("named").alias("named"),
+            F.max("alone").alias("alone"),
+            F.min("diagonal").alias("diagonal"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+        .withColumn("votes", F.size("places") / F.col("pairs"))
     )
-    told = F.lit(True)
-    for phrase, siblings in telling.items():
-        for lacking in siblings:
-            holds = F.arrays_overlap("places", F.array(*[F.lit(at).cast("int") for at in lacking]))
-            told = told & ((F.col("template") != f"own:{phrase}") | holds)
-    # A span of the right words is about as long as the template.
     fits = F.col("last") - F.col("first") < F.col("pairs") * 2 + gap
-    votes = F.size("places") / F.col("pairs")
-    share = F.when(fits & told, votes).otherwise(F.least(votes, F.lit(coverage / 2)))
+    together = F.when(fits & full("places", "named"), F.col("votes")).otherwise(F.least(F.col("votes"), F.lit(coverage / 2)))
+    share = F.greatest(together, F.coalesce("alone", F.lit(0.0)))
     return spans.select("doc_id", "text_hash", "label", F.lit("own").alias("kind"), "diagonal", share.alias("share"))
