@@ -14,23 +14,40 @@ from tillwatch.sources.store import Store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold; the model learns from the labelled ones among them all."""
+    """Documents that score below the threshold; the model learns from the labelled ones among them all.
+
+    A null or empty text scores like a sentence without any known word. A text is scored whole, however long.
+    Equal texts score alike, so repeated rows all stay or all go. Without labels of both classes, or rows, nothing goes.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.clean(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of SimHash near-duplicates."""
+    """The document with the smallest doc_id of each group of SimHash near-duplicates.
+
+    Texts without words (null, empty) have one fingerprint and are one group; a null doc_id stays only where a group
+    has no other. Of rows with the same doc_id and text the first by a hash of all columns stays, so repeated
+    rows become one. An empty table stays empty.
+    """
     return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, at most twice.
+
+    A null source is a source of its own. Texts without words (null, empty) have no size and are taken by their own
+    draw. Rows that agree in doc_id, text and source share the copies taken of them all as evenly as whole numbers can,
+    the first by a hash of all columns before the others. An empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each copy."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each copy.
+
+    A null or empty text has no ids; texts are encoded whole. Each row gives one, repeated ones too.
+    """
     return byte_bpe.round_trip(docs)
 
 

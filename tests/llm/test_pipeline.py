@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import os
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import compare
+import public_tokenizers
 import pytest
+import tiktoken
+import xxhash
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tillwatch.llm import queries, simhash, toxicity
+from tillwatch.llm import byte_bpe, mixing, queries, simhash, toxicity
 from tillwatch.llm.common import table
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -57,3 +63,77 @@ def test_stages_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.collect() == []
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def smallest_of_each(docs):
+    """The smallest doc_id of each group of fingerprints within two bits, by comparing all pairs."""
+    prints = {d.doc_id: fingerprint(d.text) for d in docs}
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 2:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {find(i) for i in prints}
+
+
+def is_toxic(model, text):
+    """By the kernel's features of each sentence, one by one."""
+    table, values = dict(zip(model.at.tolist(), model.weight.tolist(), strict=True)), []
+    for sentence in toxicity.sentences(text or ""):
+        chars, owner, again = toxicity._codes([sentence])
+        bag = toxicity.features([sentence])[0]
+        values.append(sum(table.get(k, 0.0) * w for k, w in bag.items()) / toxicity._norm(owner, again, 1)[0])
+    return model.score([toxicity.np.array(values)])[0] >= toxicity.THRESHOLD
+
+
+def test_the_whole_pipeline_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    given = table(spark, sf, "documents")
+    docs = {d.doc_id: d for d in given.collect()}
+    model = toxicity.fit(given, table(spark, sf, "labels"))
+    clean = [d for d in docs.values() if not is_toxic(model, d.text)]
+    assert 0 < len(clean) < len(docs)
+    single = [docs[i] for i in smallest_of_each(clean)]
+    assert 0 < len(single) < len(clean)
+
+    found = corpus_pipeline.run(spark, sf).collect()
+    copies = Counter(r.doc_id for r in found)
+    assert set(copies) <= {d.doc_id for d in single} and max(copies.values()) <= 2
+    size = {d.doc_id: len(re.findall(mixing.WORD, d.text or "")) for d in single}
+    own, taken = defaultdict(int), defaultdict(int)
+    for d in single:
+        own[d.source] += size[d.doc_id]
+        taken[d.source] += copies[d.doc_id] * size[d.doc_id]
+    order = sorted(own, key=lambda s: (s is None, (s or "").encode()))
+    weights, left, goal = dict(zip(order, itertools.cycle((3, 1, 2)))), 1.5 * sum(own.values()), {}
+    while full := [s for s in order if s not in goal and left * weights[s] / sum(weights[x] for x in order if x not in goal) > 2 * own[s]]:
+        for s in full:
+            goal[s] = 2.0 * own[s]
+            left -= goal[s]
+    rest = sum(weights[x] for x in order if x not in goal)
+    goal |= {s: left * weights[s] / rest for s in order if s not in goal}
+    for s in order:
+        longest = max(size[d.doc_id] for d in single if d.source == s)
+        assert abs(taken[s] - goal[s]) <= longest, s
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in found:
+        text = docs[r.doc_id].text or ""
+        ids = plain.encode_ordinary(text)
+        listed = ",".join(map(str, ids))
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(listed.encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
