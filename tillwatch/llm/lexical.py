@@ -18,7 +18,7 @@ terms of a document count, which changes no score. One pass over the texts write
 N, L and the terms' document counts are taken over all documents. The vectors are then put into ranges of
 their rarest terms (rare in the items, so that documents that answer one item share their trees), and each task
 searches the trees of its range one after another with what it has found so far. A task sends ten rows per
-item at most. Crowded terms are cut by doc_id.
+item at most. Crowded terms are cut by doc_id, and rows that repeat wholly by a number given as they are counted.
 
 Nulls: a null text has no terms. A null doc_id comes before all others in ties, and rows with equal doc_id are
 ranked one by one. Items without terms, or whose terms no document has, get no rows; equal items are answered each.
@@ -241,7 +241,15 @@ def weight(docs: int, with_term: int) -> int:
     return math.floor(1000 * math.log((2 * docs + 2) / (2 * with_term + 1)))
 
 
-def values(weights: np.ndarray, lengths: np.ndarray, starts: np.ndarray, terms: np.ndarray, counts: np.ndarray, docs: int, words: int) -> np.ndarray:
+def values(
+    weights: np.ndarray,
+    lengths: np.ndarray,
+    starts: np.ndarray,
+    terms: np.ndarray,
+    counts: np.ndarray,
+    docs: int,
+    words: int,
+) -> np.ndarray:
     """The coordinates of documents, in 64-bit integers."""
     m = 25 + (75 * lengths * docs) // words
     return weights[terms] * ((1_000_000_000 * counts) // (1000 * counts + 8 * np.repeat(m, np.diff(starts))))
@@ -303,28 +311,29 @@ def ranked(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     store = Store(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = None
+    kind = items.select("item_id").schema[0].dataType.simpleString()
     for block in blocks(items):
-        one = _ranked(texts, block, store, top)
+        one = _ranked(texts, block, kind, store, top)
         found = one if found is None else found.unionByName(one)
     if found is None:
-        kind = items.select("item_id").schema[0].dataType.simpleString()
         return documents.sparkSession.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
     return found
 
 
-def _ranked(texts: DataFrame, block: Block, store: Store, top: int) -> DataFrame:
+def _ranked(texts: DataFrame, block: Block, kind: str, store: Store, top: int) -> DataFrame:
     spark = texts.sparkSession
     kinds = "doc_id long, n long, terms array<int>, counts array<int>"
-    counted = store.keep(map_arrow(texts, _count(block.vocabulary), kinds), "counts")
+    rows = map_arrow(texts, _count(block.vocabulary), kinds).withColumn("given", F.monotonically_increasing_id())
+    counted = store.keep(rows, "counts")
     docs, words = counted.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     weights = np.zeros(len(block.vocabulary), np.int64)
     for term, with_term in counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         weights[term] = weight(docs, with_term)
-    by = [F.col("terms")[0], F.get("terms", F.lit(1)), F.col("doc_id")]
+    by = [F.col("terms")[0], F.get("terms", F.lit(1)), F.col("doc_id"), F.col("given")]
     ranges = counted.where(F.size("terms") > 0).repartitionByRange(*by).sortWithinPartitions(*by)
     best = map_arrow(ranges, _search(block, weights, docs, words, top), _FOUND)
     highest = Window.partitionBy("item").orderBy(F.desc("score"), "doc_id")
-    ids = spark.createDataFrame([(i, id_) for i, id_ in enumerate(block.ids)], "item int, item_id long")
+    ids = spark.createDataFrame([(i, id_) for i, id_ in enumerate(block.ids)], f"item int, item_id {kind}")
     return (
         best.withColumn("rank", F.row_number().over(highest))
         .where(F.col("rank") <= top)
