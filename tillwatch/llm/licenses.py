@@ -23,7 +23,7 @@ other than doc_id and text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import text_of
@@ -138,8 +138,8 @@ def telling_pairs(templates: dict[str, str], coverage: float = COVERAGE) -> dict
     return out
 
 
-def template_pairs(documents: DataFrame, base: dict[str, str], templates: dict[str, str]) -> DataFrame:
-    """One row per template and place: the hash and words of the pair there."""
+def template_table(spark: SparkSession, base: dict[str, str], templates: dict[str, str]) -> DataFrame:
+    """One row per template: its number, what it is, and its pairs as (at, a, b)."""
     rows = []
     for kind, phrases in (("base", base), ("own", templates)):
         for template, label in phrases.items():
@@ -147,16 +147,17 @@ def template_pairs(documents: DataFrame, base: dict[str, str], templates: dict[s
             split = phrase.split()
             if len(split) < K:
                 raise ValueError(f"a phrase needs {K} words: {phrase!r}")
-            rows += [
-                (kind, f"{kind}:{phrase}", label, len(split) - K + 1, first, last, at, a, b)
-                for at, (a, b) in enumerate(zip(split, split[1:], strict=False))
-            ]
-    kinds = "kind string, template string, label string, pairs int, name_first int, name_last int, at int, a string, b string"
-    return documents.sparkSession.createDataFrame(rows, kinds).withColumn("hash", F.xxhash64("a", "b"))
+            pairs = [(at, a, b) for at, (a, b) in enumerate(zip(split, split[1:], strict=False))]
+            rows.append((len(rows), kind, f"{kind}:{phrase}", label, len(pairs), first, last, pairs))
+    kinds = (
+        "number int, kind string, template string, label string, pairs int, name_first int, name_last int, "
+        "places array<struct<at: int, ta: string, tb: string>>"
+    )
+    return spark.createDataFrame(rows, kinds)
 
 
-def hits(documents: DataFrame, base: dict[str, str], templates: dict[str, str]) -> DataFrame:
-    """Distinct (doc_id, text_hash, template and its columns, place in the text, place in the template)."""
+def hits(documents: DataFrame, table: DataFrame) -> DataFrame:
+    """Distinct (doc_id, text_hash, number of the template, place in the text, place in the template)."""
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash"), words(text_of()).alias("words")
     )
@@ -168,11 +169,12 @@ def hits(documents: DataFrame, base: dict[str, str], templates: dict[str, str])
     pairs = rows.select("doc_id", "text_hash", F.posexplode(pair).alias("pos", "pair")).select(
         "doc_id", "text_hash", "pos", "pair.*"
     )
-    places = template_pairs(documents, base, templates).withColumnsRenamed({"a": "ta", "b": "tb"})
+    places = table.select("number", F.explode("places").alias("place")).select("number", "place.*")
+    places = places.withColumn("hash", F.xxhash64("ta", "tb"))
     return (
         pairs.join(F.broadcast(places), "hash")
         .where("a = ta and b = tb")
-        .select("doc_id", "text_hash", "kind", "template", "label", "pairs", "name_first", "name_last", "pos", "at")
+        .select("doc_id", "text_hash", "number", "pos", "at")
         .distinct()
     )
 
@@ -186,7 +188,8 @@ def scan(
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     store = Store(documents.sparkSession)
-    found = store.keep(hits(documents, base, templates), "license_hits")
+    table = template_table(documents.sparkSession, base, templates)
+    found = store.keep(hits(documents, table), "license_hits").join(F.broadcast(table.drop("places")), "number")
     text = ["doc_id", "text_hash"]
 
     exact = (
