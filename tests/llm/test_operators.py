@@ -491,6 +491,57 @@ def test_fingerprints(docs, no_docs):
     assert fingerprints.fingerprint_with_next(docs.where("doc_id = 6")).collect()[0].near_next == 1.0
 
 
+def _exact_likeness(a, b):
+    a, b = fingerprints.bag(a), fingerprints.bag(b)
+    return sum((a & b).values()) / sum((a | b).values()) if a or b else 1.0
+
+
+def test_production_samples_estimate_each_row(spark):
+    """At 64 samples, whole rows of crowded ids, null ids and repeated rows against the exact similarity."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+
+    def text():
+        start = rng.randint(0, 300)
+        return " ".join(rng.choice(words[start : start + 60]) for _ in range(rng.randint(0, 90)))
+
+    data = [(i, text(), "a") for i in range(0, 900, 3)]
+    data += [(30, text(), "a") for _ in range(500)]  # one id, many texts
+    data += [(None, text(), "a") for _ in range(400)]
+    data += [(31, "the same text over and over", "a")] * 700 + [(32, None, "a")] * 3 + [(-5, "first", "a")]
+    frame = spark.createDataFrame(rows_of(*data), DOCS)
+    out = fingerprints.fingerprint_with_next(frame, bucket_rows=100).collect()
+    hashed = spark.createDataFrame([(t or "",) for _, t, _ in data], "text string").distinct()
+    by_hash = {r.text: r.h for r in hashed.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(((i is not None, i or 0, by_hash[t or ""]), i, t or "") for i, t, _ in data)
+    expected, errors = Counter(), []
+    own = dict(zip(by_hash, fingerprints.signatures([fingerprints.bag(t) for t in by_hash])))
+    exact = {}
+    for (_, i, t), (_, _, following) in zip(order, [*order[1:], order[0]]):
+        other = fingerprints.edited(t, following)
+        sign = fingerprints.signatures([fingerprints.bag(other)])[0]
+        near = fingerprints.likeness(own[t], sign), fingerprints.likeness(own[t], own[following])
+        digest = hashlib.sha256(other.encode()).hexdigest()
+        expected[(i, len(t), digest, fingerprints._hex(own[t]), fingerprints._hex(sign), *near)] += 1
+        if (t, following) not in exact:
+            exact[t, following] = _exact_likeness(t, other), _exact_likeness(t, following)
+            errors += [a - b for a, b in zip(near, exact[t, following])]
+    assert Counter(tuple(r) for r in out) == expected
+    assert len(errors) > 2_000 and abs(np.mean(errors)) < 0.01
+    assert np.sqrt(np.mean(np.square(errors))) < 0.0625  # sqrt(s (1 - s) / 64) at most
+
+
+def test_crowded_ids_are_cut(spark):
+    """One doc_id and the null ids, a third of all rows each, are cut into buckets of a partition's share."""
+    data = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i}", "a") for i in range(6_000)]
+    rows = spark.createDataFrame(rows_of(*data), DOCS).withColumn("text_hash", F.xxhash64("text"))
+    crowds = fingerprints.crowded_ids(rows.select("doc_id"), 750)
+    assert crowds == {7: 2_000, None: 2_000}
+    bucket = fingerprints.buckets_of(rows.select("doc_id"), 8, 750, crowds)
+    sizes = [r["count"] for r in rows.select(bucket.alias("to")).groupBy("to").count().collect()]
+    assert sum(sizes) == 6_000 and len(sizes) >= 9 and max(sizes) < 900
+
+
 # --- 6 --------------------------------------------------------------------------------------
 
 

@@ -12,8 +12,10 @@ so the share of equal samples estimates it. A fingerprint keeps 16 bits of each
 
 Nulls: a null text is an empty one; texts without terms have the fingerprint of zeros, alike to each
 other with 1 and to any other with 0. The order is by doc_id, nulls first, and a hash of the text;
-wholly equal rows tie, which changes nothing. A single row is its own next one. An empty table gives
-an empty result. Columns other than doc_id and text are not read.
+wholly equal rows tie, which changes nothing. A doc_id, null included, of more rows than a partition's
+share is cut by its texts' hashes, and its equal rows are compared once and unfold at the end. A single
+row is its own next one. An empty table gives an empty result. Columns other than doc_id and text are
+not read.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import importable, map_arrow, text_of
+from tillwatch.llm.common import importable, map_arrow, numbered_copies, text_of
 
 SAMPLES = 64
 #: Terms of this many documents at a time share their draws; more text than that closes a batch too.
@@ -135,21 +137,29 @@ _ROWS = pa.schema(
         ("edited_fingerprint", pa.string()),
         ("near_edited", pa.float64()),
         ("near_next", pa.float64()),
+        ("copies", pa.int64()),
     ]
 )
+_KINDS = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double, copies long"
+)
 
 
 def _compare(samples: int):
-    """Over rows sorted by bucket and order, each bucket followed by the first row of the next one."""
+    """Over rows sorted by bucket and order, each bucket followed by the first row of the next one.
+
+    A row that stands for several copies is followed by one more copy, so its text is its own next one.
+    """
 
     def rows_of(held: list[tuple]) -> pa.RecordBatch:
         """All but the last of the held rows, and those that only end a bucket."""
-        bags, changed = [bag(t) for _, _, t, _ in held], []
-        for (b, _, text, _), (b_next, _, following, _) in zip(held, held[1:], strict=False):
+        bags, changed = [bag(t) for _, _, t, _, _ in held], []
+        for (b, _, text, _, _), (b_next, _, following, _, _) in zip(held, held[1:], strict=False):
             changed.append(edited(text, following) if b == b_next else "")
         own = signatures([*bags, *map(bag, changed)], samples)
         out = []
-        for i, (b, doc_id, text, ends) in enumerate(held[:-1]):
+        for i, (b, doc_id, text, ends, copies) in enumerate(held[:-1]):
             if ends or held[i + 1][0] != b:
                 continue
             a, e = own[i], own[len(held) + i]
@@ -162,6 +172,7 @@ def _compare(samples: int):
                     _hex(e),
                     likeness(a, e),
                     likeness(a, own[i + 1]),
+                    copies,
                 )
             )
         columns = zip(*out, strict=True) if out else [[] for _ in _ROWS]
@@ -173,8 +184,8 @@ def _compare(samples: int):
         held: list[tuple] = []
         chars = 0
         for batch in batches:
-            for bucket, doc_id, text, ends in zip(*batch.columns, strict=True):
-                held.append((bucket.as_py(), doc_id.as_py(), text.as_py(), ends.as_py()))
+            for row in zip(*batch.columns, strict=True):
+                held.append(tuple(value.as_py() for value in row))
                 chars += len(held[-1][2])
                 if len(held) > BATCH or chars > BATCH_CHARS:
                     yield rows_of(held)
@@ -185,10 +196,40 @@ def _compare(samples: int):
     return run
 
 
+def crowded_ids(ids: DataFrame, share: int) -> dict[int | None, int]:
+    """The doc_ids, null included, of more than `share` rows, with their rows: at most one per share."""
+    crowds = ids.groupBy("doc_id").count().where(F.col("count") > share)
+    return {r.doc_id: r["count"] for r in crowds.collect()}
+
+
+def buckets_of(ids: DataFrame, partitions: int, share: int, crowds: dict[int | None, int]):
+    """The bucket of a doc_id and its text's hash: ranges of doc_id; a crowded doc_id is cut by the hash."""
+    plain = ids.where(F.col("doc_id").isNotNull() & ~F.col("doc_id").isin([i for i in crowds if i is not None]))
+    buckets = min(-(-plain.count() // share), partitions)
+    cuts = [i / buckets for i in range(1, buckets)]
+    edges = {int(e) for e in plain.approxQuantile("doc_id", cuts, 0.1 / buckets)} if cuts else set()
+    alone = {i: -(-n // share) for i, n in crowds.items()}
+    edges |= {i for i in alone if i is not None} | {i + 1 for i in alone if i is not None and i < 2**63 - 1}
+    starts = np.array(sorted(edges), np.int64)
+    parts = np.array([1, *(alone.get(int(i), 1) for i in starts)])
+    before = np.concatenate([[0], np.cumsum(parts)[:-1]])
+
+    @F.pandas_udf("long")
+    def of_id(doc_id: pd.Series, text_hash: pd.Series) -> pd.Series:
+        at = np.searchsorted(starts, doc_id.to_numpy(), side="right")
+        part = np.floor((text_hash.to_numpy() / 2.0**64 + 0.5) * parts[at]).astype(np.int64)
+        return pd.Series(before[at] + np.minimum(part, parts[at] - 1))
+
+    nulls = alone.get(None, 1)
+    of_null = F.least(F.floor((F.col("text_hash") / F.lit(2.0**64) + 0.5) * nulls), F.lit(nulls - 1)) - nulls
+    known = of_id(F.coalesce("doc_id", F.lit(0).cast("long")), "text_hash")
+    return F.when(F.col("doc_id").isNull(), of_null.cast("long")).otherwise(known)
+
+
 def fingerprint_with_next(documents: DataFrame, samples: int = SAMPLES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Fingerprints of each text and of its edited text, and their likeness (the columns of _ROWS).
+    """Fingerprints of each text and of its edited text, and their likeness (the columns of _ROWS but copies).
 
-    Rows are dealt into buckets, ranges of doc_id, at most one for each shuffle partition. The first row of
+    Rows are dealt into buckets, ranges of doc_id, about one for each shuffle partition. The first row of
     a bucket is dealt to the one before it too, where it ends the row of texts, so one shuffle brings every
     text beside its next one. The driver sees a range and a first id per bucket.
     """
@@ -197,36 +238,39 @@ def fingerprint_with_next(documents: DataFrame, samples: int = SAMPLES, bucket_r
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
-    known = ids.where("doc_id is not null")
-    buckets = min(-(-known.count() // bucket_rows), partitions)
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = np.unique(known.approxQuantile("doc_id", cuts, 0.1 / buckets)) if cuts else np.zeros(0)
-
-    @F.pandas_udf("long")
-    def bucket_of(doc_id: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, doc_id.to_numpy(), side="right"))
-
-    where = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(
-        bucket_of(F.coalesce("doc_id", F.lit(0).cast("long")))
+    share = max(bucket_rows, -(-ids.count() // partitions))
+    crowds = crowded_ids(ids, share)
+    one = rows.withColumn("copies", F.lit(1).cast("long")).withColumn("last", F.lit(False))
+    if crowds:
+        known = F.col("doc_id").isin([i for i in crowds if i is not None])
+        among = F.when(F.col("doc_id").isNull(), F.lit(None in crowds)).otherwise(known)
+        counted = rows.where(among).groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+        single = F.struct(F.lit(1).cast("long").alias("copies"), (F.col("n") > 1).alias("last"))
+        others = F.struct((F.col("n") - 1).alias("copies"), F.lit(False).alias("last"))
+        folded = counted.withColumn("as", F.explode(F.when(F.col("n") > 1, F.array(others, single)).otherwise(F.array(single))))
+        one = one.where(~among).union(folded.select("doc_id", "text", "as.copies", "as.last"))
+    placed = (
+        one.withColumn("text_hash", F.xxhash64("text"))
+        .withColumn("bucket", buckets_of(ids, partitions, share, crowds))
+        .withColumn("at", F.struct("doc_id", "text_hash", "last"))
     )
-    order = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
-    placed = rows.withColumn("bucket", where).withColumn("at", order)
     firsts = sorted(placed.groupBy("bucket").agg(F.min("at").alias("at")).collect(), key=lambda r: r.bucket)
-    pairs = [(this.at.doc_id, this.at.text_hash, before.bucket) for before, this in zip([firsts[-1], *firsts], firsts)] if firsts else []
-    ends = spark.createDataFrame(pairs, "first_id long, first_hash long, before long")
-    is_first = F.col("at.doc_id").eqNullSafe(F.col("first_id")) & (F.col("at.text_hash") == F.col("first_hash"))
+    pairs = [(*this.at, before.bucket) for before, this in zip([firsts[-1], *firsts], firsts)] if firsts else []
+    ends = spark.createDataFrame(pairs, "first_id long, first_hash long, first_last boolean, before long")
+    is_first = (
+        F.col("at.doc_id").eqNullSafe(F.col("first_id"))
+        & (F.col("at.text_hash") == F.col("first_hash"))
+        & (F.col("at.last") == F.col("first_last"))
+    )
     own = F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ends")))
     too = F.array(F.struct(F.col("before").alias("bucket"), F.lit(True).alias("ends")))
     dealt = (
         placed.join(F.broadcast(ends), is_first, "left")
         .withColumn("to", F.explode(F.when(F.col("before").isNull(), own).otherwise(F.concat(own, too))))
-        .select("to.bucket", "to.ends", "at", "text")
+        .select("to.bucket", "to.ends", "at", "text", "copies")
         .repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int"))
         .sortWithinPartitions("bucket", "ends", "at")
-        .select("bucket", F.col("at.doc_id").alias("doc_id"), "text", "ends")
-    )
-    kinds = (
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+        .select("bucket", F.col("at.doc_id").alias("doc_id"), "text", "ends", "copies")
     )
-    return map_arrow(dealt, _compare(samples), kinds)
+    out = map_arrow(dealt, _compare(samples), _KINDS)
+    return numbered_copies(out, "copies", "number").drop("number") if crowds else out.drop("copies")
