@@ -293,17 +293,18 @@ def fold(node: Any, filters: Mapping[str, Callable[[str], str]]) -> Any:
         of = fold(node.of, filters)
         return Const(filters[node.name](_shown(of.value))) if isinstance(of, Const) else replace(node, of=of)
     if isinstance(node, Op):
-        args = tuple(fold(a, filters) for a in node.args)
-        first = args[0]
+        first = fold(node.args[0], filters)
+        if node.kind in ("and", "or") and isinstance(first, Const):
+            return first if bool(first.value) == (node.kind == "or") else fold(node.args[1], filters)
+        args = (first, *(fold(a, filters) for a in node.args[1:]))
         if all(isinstance(a, Const) for a in args):
             return Const(_value(Op(node.kind, args), filters)({}))
-        if node.kind in ("and", "or") and isinstance(first, Const):
-            return first if bool(first.value) == (node.kind == "or") else args[1]
         return Op(node.kind, args)
     if isinstance(node, If):
-        test, then, other = fold(node.test, filters), fold(node.then, filters), fold(node.other, filters)
-        if isinstance(test, Const):
-            return then if test.value else other
+        test = fold(node.test, filters)
+        if isinstance(test, Const):  # what can never run is not folded
+            return fold(node.then if test.value else node.other, filters)
+        then, other = fold(node.then, filters), fold(node.other, filters)
         return If(test, then, other) if then or other else ()
     if isinstance(node, For):
         body = fold(node.body, filters)
