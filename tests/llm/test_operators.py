@@ -588,6 +588,8 @@ def test_templates():
     for bad in ("{{ x.__class__ }}", "{{ f(1) }}", "{% for x %}{% endfor %}", "{% if x %}", "{{ x | none }}", "{% endif %}", "{{ 'a }}"):
         with pytest.raises(t.TemplateError):
             t.compile_template(bad, {})
+    for dead in ("{% if false %}{{ 'a' + 1 }}{% endif %}z", "{% if true or 'a' + 1 %}z{% else %}{{ 1 + 'a' }}{% endif %}"):
+        assert render(dead) == "z"
     with pytest.raises(t.TemplateError):
         render("{{ x.real }}", x=1)
     with pytest.raises(t.TemplateError):
@@ -627,6 +629,30 @@ def test_neighbours(spark):
     assert neighbours.nearest_neighbours(frame.limit(0)).collect() == []
 
 
+def test_a_forest_ascends_only_as_far_as_it_must():
+    """Clustered vectors: few are compared; the candidates are those that share the prefix in some tree."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((200, 24))
+    points = np.repeat(centres, 30, axis=0) + 0.05 * rng.standard_normal((6_000, 24))
+    ids = np.arange(len(points))
+    forest = neighbours.Forest(points, points.mean(axis=0))
+    strings = forest.strings(points)
+    for length in (0, 3, 17, forest.bits):
+        a, b = forest.spans(strings[:, 40], length)
+        same = (strings >> (forest.bits - length)) == (strings[:, 40, None] >> (forest.bits - length))
+        for t in range(forest.trees):
+            assert sorted(forest.order[a[t] : b[t]]) == np.flatnonzero(same[t]).tolist()
+    found = 0
+    for own in range(0, 6_000, 100):
+        near, far = forest.search(points[own], ids, own, 10, neighbours.MISS)
+        every = np.sqrt(((points - points[own]) ** 2).sum(axis=1))
+        every[own] = np.inf
+        assert far.tolist() == every[near].tolist()
+        found += len(set(near) & set(np.lexsort((ids, every))[:10]))
+    assert found >= 0.97 * 600
+    assert forest.compared < 0.05 * 60 * len(points)
+
+
 # --- 8 --------------------------------------------------------------------------------------
 
 

@@ -40,69 +40,73 @@ SEED = 7
 
 
 class Forest:
-    """The trees of one block of vectors."""
+    """The trees of one block of vectors: all their hash strings in one sorted array, tree after tree."""
 
     def __init__(self, vectors: np.ndarray, mean: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = SEED):
         planes = np.random.default_rng((seed, vectors.shape[1])).standard_normal((vectors.shape[1], trees * bits))
         self.planes, self.mean, self.trees, self.bits = planes, mean, trees, bits
+        self.vectors = vectors
         strings = self.strings(vectors)
-        self.order = np.argsort(strings, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(strings, self.order, axis=1)
+        order = np.argsort(strings, axis=1, kind="stable")
+        self.order = order.ravel()
+        self.sorted = np.take_along_axis(strings, order, axis=1).ravel()
+        far = np.sqrt(((vectors - mean) ** 2).sum(axis=1))
+        #: The least distance from the mean of most vectors: shorter ones make larger angles.
+        self.spread = float(np.quantile(far, 0.05))
+        #: Vectors whose distances were taken, over all searches.
+        self.compared = 0
 
     def strings(self, vectors: np.ndarray) -> np.ndarray:
-        """One hash string per tree and vector, as an integer whose first bit is the highest."""
+        """One hash string per tree and vector, as an integer: the tree, then a bit per plane, the first the highest."""
         signs = ((vectors - self.mean) @ self.planes > 0).reshape(len(vectors), self.trees, self.bits)
         weight = (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64)).astype(np.int64)
-        return np.ascontiguousarray((signs @ weight).T)
+        tree = np.arange(self.trees, dtype=np.int64)[:, None] << self.bits
+        return np.ascontiguousarray((signs @ weight).T) + tree
 
-    def span(self, tree: int, string: int, length: int) -> tuple[int, int]:
-        """Where the strings that share a prefix of this length stand."""
+    def spans(self, strings: np.ndarray, length: int) -> np.ndarray:
+        """Where the strings that share a prefix of this length start and end, for each tree."""
         free = self.bits - length
-        low = (string >> free) << free
-        return tuple(np.searchsorted(self.sorted[tree], [low, low + (1 << free)]))
+        low = (strings >> free) << free
+        return np.searchsorted(self.sorted, [low, low + (1 << free)])
 
-    def longest(self, tree: int, string: int) -> int:
-        """The length of the longest prefix that some string shares."""
-        at = int(np.searchsorted(self.sorted[tree], string))
-        near = self.sorted[tree][max(0, at - 1) : at + 1]
-        return max((self.bits - int(other ^ string).bit_length() for other in near.tolist()), default=0)
+    def longest(self, strings: np.ndarray) -> int:
+        """The length of the longest prefix that some string shares in some tree."""
+        at = np.searchsorted(self.sorted, strings)
+        near = self.sorted[[np.maximum(at - 1, 0), np.minimum(at, len(self.sorted) - 1)]]
+        return max(0, self.bits - int((near ^ strings).min()).bit_length())
 
-    def search(self, query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: int, nearest: int, miss: float):
+    def search(self, query: np.ndarray, ids: np.ndarray, own: int, nearest: int, miss: float):
         """Ids and distances of the nearest candidates, ties to the smaller id."""
-        strings = self.strings(query[None])[:, 0].tolist()
-        length = max(self.longest(t, s) for t, s in enumerate(strings))
+        strings = self.strings(query[None])[:, 0]
+        length = self.longest(strings)
         distance = np.full(len(ids), np.inf)
         seen = np.zeros(len(ids), bool)
-        centred, norms = query - self.mean, None
+        norm = float(np.sqrt(((query - self.mean) ** 2).sum()))
+        inner = None
         while True:
+            a, b = self.spans(strings, length)
+            # Of a longer span only the rows on both sides of the shorter one are new.
+            sides = zip(a, b) if inner is None else [s for w, x, y, z in zip(a, *inner, b) for s in ((w, x), (y, z))]
+            inner = a, b
             fresh = np.zeros(len(ids), bool)
-            for t, s in enumerate(strings):
-                a, b = self.span(t, s, length)
-                fresh[self.order[t, a:b]] = True
-            fresh &= ~seen
-            new = np.flatnonzero(fresh)
+            fresh[np.concatenate([self.order[x:y] for x, y in sides])] = True
+            new = np.flatnonzero(fresh & ~seen)
             if len(new):
                 seen[new] = True
-                distance[new] = np.sqrt(((vectors[new] - query) ** 2).sum(axis=1))
+                distance[new] = np.sqrt(((self.vectors[new] - query) ** 2).sum(axis=1))
                 distance[new[ids[new] == own]] = np.inf
+                self.compared += len(new)
             if length == 0:
                 break
-            found = np.flatnonzero(np.isfinite(distance))
-            if len(found) >= nearest:
-                radius = np.partition(distance[found], nearest - 1)[nearest - 1]
-                if norms is None:
-                    norms = float(np.sqrt((centred**2).sum())), self.spread(vectors)
-                if (1 - self.shared_bit(radius, *norms) ** length) ** self.trees <= miss:
+            radius = np.partition(distance, nearest - 1)[nearest - 1] if len(ids) >= nearest else np.inf
+            if np.isfinite(radius):
+                if (1 - self.shared_bit(radius, norm, self.spread) ** length) ** self.trees <= miss:
                     break
             length -= 1
         found = np.flatnonzero(np.isfinite(distance))
         order = np.lexsort((ids[found], distance[found]))[:nearest]
         return ids[found][order], distance[found][order]
 
-    def spread(self, vectors: np.ndarray) -> float:
-        """The least distance from the mean of most vectors: shorter ones make larger angles."""
-        return float(np.quantile(np.sqrt(((vectors - self.mean) ** 2).sum(axis=1)), 0.05))
-
     @staticmethod
     def shared_bit(radius: float, query_norm: float, other_norm: float) -> float:
         """The probability that a vector at this distance is on the query's side of a plane."""
@@ -170,7 +174,7 @@ def nearest_neighbours(
             own, own_ids = stacked[~asks], ids[~asks]
             forest = Forest(own, means[int(group["dim"].iloc[0])], trees, bits)
             for query, query_id in zip(stacked[asks], ids[asks], strict=True):
-                found, far = forest.search(query, own, own_ids, query_id, nearest, miss)
+                found, far = forest.search(query, own_ids, query_id, nearest, miss)
                 out += [(query_id, f, d) for f, d in zip(found, far, strict=True)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
