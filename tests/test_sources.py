@@ -144,6 +144,22 @@ def test_store_can_be_cleared(spark):
         spark.read.parquet(folder)
 
 
+def test_outdated_results_can_be_dropped(spark):
+    kept = store.Store(spark)
+    steps = [kept.keep(spark.range(n), "step").inputFiles()[0].rsplit("/", 1)[0] for n in range(1, 4)]
+    other = kept.keep(spark.range(7), "other")
+    kept.drop("step", but=1)
+    for gone in steps[:2]:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(gone)
+    assert spark.read.parquet(steps[2]).count() == 3 and other.count() == 7
+    kept.drop("nothing")
+    kept.drop("step")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(steps[2])
+    assert other.count() == 7
+
+
 def test_write_all(spark, folder, tmp_path):
     models = Models(read(spark, folder), as_of=dt.date(2026, 3, 1), alert_created_at=LOADED, store=store.Store(spark))
     written = write_all(models, str(tmp_path / "out"))

@@ -88,7 +88,7 @@ class Store:
     """Keeps intermediate results as Parquet in the shared folder.
 
     A kept result is computed once, survives lost executors, and is read with column pruning and
-    a known size. The files go with `clear`, or when the Spark application ends.
+    a known size. The files go with `drop` or `clear`, or when the Spark application ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -100,14 +100,22 @@ class Store:
         folder = f"{shared_folder(self.spark).rstrip('/')}/tillwatch/{name}-{uuid.uuid4().hex}"
         system, path = file_system(self.spark, folder)
         system.deleteOnExit(path)
-        self._paths.append((system, path))
+        self._paths.append((name, system, path))
         return folder
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         return as_files(df, self.folder(name))
 
+    def drop(self, name: str, but: int = 0) -> None:
+        """Delete what was kept under a name but for the last `but` results; nothing may read it any more."""
+        named = [entry for entry in self._paths if entry[0] == name]
+        for entry in named[: max(0, len(named) - but)]:
+            self._paths.remove(entry)
+            _, system, path = entry
+            system.delete(path, True)
+
     def clear(self) -> None:
         """Delete everything kept so far; results that read it are no longer usable."""
         while self._paths:
-            system, path = self._paths.pop()
+            _, system, path = self._paths.pop()
             system.delete(path, True)
