@@ -826,6 +826,7 @@ def test_links_connect_as_all_pairs_do(spark, limit):
     for f, r in _components(fps).items():
         expected.setdefault(r, set()).add(f)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+    assert [name for name, *_ in store._paths] == ["crowded", "small_star"]  # no older step is left
 
 
 def test_near_duplicates(spark, docs, no_docs):

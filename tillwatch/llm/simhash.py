@@ -215,7 +215,8 @@ def links(fps: DataFrame, store: Store, radius: int = RADIUS, limit: int = SHARD
 def connected(edges: DataFrame, store: Store) -> DataFrame:
     """(a, b): each node with a link and, unless it is that itself, the smallest node of its component.
 
-    Alternates large-star and small-star steps, each written to the shared folder, until nothing changes.
+    Alternates large-star and small-star steps, each written to the shared folder, until nothing changes. A step's
+    files go once the step that reads them is written.
     """
 
     def mark(df: DataFrame) -> tuple:
@@ -234,6 +235,8 @@ def connected(edges: DataFrame, store: Store) -> DataFrame:
         ends = F.explode(F.array(F.col("a"), F.col("b")))
         small = large.join(low, "a").select(ends.alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         edges = store.keep(small, "small_star")
+        for written, but in (("links", 0), ("large_star", 0), ("small_star", 1)):
+            store.drop(written, but)
         after = mark(edges)
         if after == before:
             break
