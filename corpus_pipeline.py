@@ -63,9 +63,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each but the last written as Parquet in the shared folder and read again."""
+    """All stages, each but the last written as Parquet in the shared folder and read again.
+
+    A stage's files go once the next stage's are written, so the folder holds at most two sets of texts.
+    """
     docs = table(spark, sf_dir, "documents")
     store = Store(spark)
+    before = None
     for name, stage in STAGES[:-1]:
         docs = store.keep(stage(spark, docs, sf_dir), name)
+        if before:
+            store.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
