@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from tillwatch.operators.copies import BLOCK, repeat_rows
 from tillwatch.operators.quality import Check
 from tillwatch.plans import checks
 from tillwatch.plans.models import Models, write_all, write_readouts
+from tillwatch.sources.feed import split_labels
+from tillwatch.sources.star import SCHEMAS, StarFeed
 from tillwatch.sources.store import Store, as_files, fact_layout, write_fact
 
 SF = "/root/testdata/sf0.001"
@@ -152,6 +156,47 @@ def test_the_job_joins_each_rules_starts_once(spark, tmp_path):
     kept.clear()
 
 
+@pytest.fixture
+def star(spark, tmp_path):
+    """Star tables with repeated, missing and null keys."""
+    moment = dt.datetime(2024, 1, 1)
+    tables = {
+        "region": [(0, "R0"), (1, "R1")],
+        "nation": [(n, f"N{n}", n % 2) for n in range(4)],
+        "customer": [(k, "c", 0 if k is None else k % 4, 1.0, "m") for k in (0, 1, 1, 2, 2, 2, 3, None, None)],
+        "supplier": [(k, "s", 0 if k is None else k % 4, 1.0) for k in (0, 1, 2, 2, None, None)],
+        "events": [
+            (i, moment + dt.timedelta(hours=i), (*range(6), None)[i // 3 % 7], ("click", "view", "purchase", "error")[i % 4], 5.0, f'{{"k": {i}}}')
+            for i in range(100)
+        ],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return StarFeed(spark, str(tmp_path))
+
+
+def test_labels_are_those_of_the_joined_transactions(star):
+    def counted(df):
+        return Counter(map(tuple, df.collect()))
+
+    found = counted(star.ground_truth)
+    assert found == counted(split_labels(star.labelled_transactions)[1]) and max(found.values()) == 6
+
+
+def test_labels_are_read_without_the_dimensions(star):
+    """The events meet neither dimension, only the repeated keys, and stay where they are."""
+    text = final_plan(star.ground_truth)
+    assert "customer.parquet" not in text and "hashpartitioning" not in text and "region.parquet" not in text
+
+
+@pytest.mark.parametrize(("asked", "kept_gap"), [("flags", "geo_minute"), ("analyst_flags", "geo_exact")])
+def test_one_flag_set_computes_one_gap(star, spark, asked, kept_gap):
+    kept = RecordingStore(spark)
+    getattr(Models(star, entry.SETTINGS, entry.AS_OF, entry.ALERT_CREATED_AT, kept), asked)
+    assert [name for name, _, _ in kept.kept if name.startswith("geo")] == [kept_gap]
+    kept.clear()
+
+
 def test_only_crowded_rows_are_dealt_out(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", BLOCK), ("c", 3 * BLOCK)], "id string, copies long")
     df.write.parquet(str(tmp_path / "flags"))

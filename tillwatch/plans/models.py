@@ -28,12 +28,16 @@ class Models:
         as_of: dt.date | None = None,
         alert_created_at: dt.datetime | None = None,
         store: Store | None = None,
+        both_sets: bool = False,
     ):
         self.feed = feed
         self.settings = settings
         self.as_of = as_of
         self.alert_created_at = alert_created_at
         self.store = store
+        #: Whether the analyst's flags will be asked for as well as those of all rules: with a store, the travel
+        #: rule's two variants are then one job. Else only the variant that is asked for is computed.
+        self.both_sets = both_sets
 
     @property
     def keep(self):
@@ -83,9 +87,16 @@ class Models:
 
     def _geo(self, settings: RuleSettings) -> DataFrame:
         rule = settings.geo_impossible
-        if self.store:
+        if self.store and self.both_sets:
             return self.geo_of_both_gaps[rule.gap]
-        return rules.geo_impossible_flags(self.stg_transactions, rule, every_copy=False)
+        if rule.gap not in self._geo_of_one_gap:
+            found = rules.geo_impossible_flags(self.stg_transactions, rule, every_copy=False)
+            self._geo_of_one_gap[rule.gap] = self._kept(found, f"geo_{rule.gap}")
+        return self._geo_of_one_gap[rule.gap]
+
+    @cached_property
+    def _geo_of_one_gap(self) -> dict[str, DataFrame]:
+        return {}
 
     @cached_property
     def geo_of_both_gaps(self) -> dict[str, DataFrame]:
@@ -257,6 +268,7 @@ def write_all(models: Models, folder: str) -> dict[str, DataFrame]:
     What is written takes the place of the model: whatever is built on it reads the files.
     """
     folder = folder.rstrip("/")
+    models.both_sets = True  # for the read-outs
     written = {}
 
     def put(name: str, df: DataFrame) -> None:

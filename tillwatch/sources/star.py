@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.functions.grading import single_limit
+from tillwatch.operators.copies import COPIES
 from tillwatch.operators.joins import left_join_sparse
-from tillwatch.schemas import MONEY
+from tillwatch.schemas import GROUND_TRUTH, MONEY
 from tillwatch.sources.feed import split_labels
+from tillwatch.sources.store import Store
 
 # Fixed values.
 FIRST_DAY = "2024-01-01"
@@ -105,8 +107,8 @@ class StarFeed:
         )
 
     @cached_property
-    def labelled_transactions(self) -> DataFrame:
-        """One row per event, with its label."""
+    def _events(self) -> DataFrame:
+        """One row per event, with its label, and the numbers of its agent and customer."""
         agents = self._table("supplier").agg(F.count("*")).scalar()
         customers = self._table("customer").agg(F.count("*")).scalar()
         event, user = F.col("event_id"), F.col("user_id")
@@ -119,14 +121,13 @@ class StarFeed:
         part = F.col("value").cast(MONEY) * limit * F.lit("0.02").cast("decimal(4,2)")
         fraud = F.get_json_object("props", "$.k").cast("int") >= 95
         label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), (event % 5 + 1).cast("int"))
+        agent = F.when(kind.isin("cash_in", "cash_out"), (event * 31 + user) % agents)
 
-        events = self._table("events").withColumn("txn_type", txn_type).select(
+        return self._table("events").withColumn("txn_type", txn_type).select(
             _id("TXN_", event, 10).alias("transaction_id"),
             F.col("ts").alias("txn_timestamp"),
             _customer_id(user).alias("customer_id"),
-            F.when(
-                kind.isin("cash_in", "cash_out"), _agent_id((event * 31 + user) % agents)
-            ).alias("agent_id"),
+            _agent_id(agent).alias("agent_id"),
             F.when(
                 kind == "p2p_transfer", _customer_id((user + 1 + event) % customers)
             ).alias("counterparty_customer_id"),
@@ -135,7 +136,14 @@ class StarFeed:
             (event % 50 == 0).alias("redelivered"),
             fraud.alias("is_fraud"),
             F.when(fraud, label).alias("fraud_pattern"),
+            agent.alias("s_suppkey"),
+            user.alias("c_custkey"),
         )
+
+    @cached_property
+    def labelled_transactions(self) -> DataFrame:
+        """One row per event, with its label."""
+        events = self._events.drop("s_suppkey", "c_custkey")
         at_agent = self.agents.select("agent_id", F.col("region").alias("agent_region"))
         at_home = self.customers.select("customer_id", "home_region")
         return (
@@ -187,5 +195,17 @@ class StarFeed:
 
     @cached_property
     def ground_truth(self) -> DataFrame:
-        _, labels = split_labels(self.labelled_transactions)
+        """The labels of `labelled_transactions`, without its joins.
+
+        All that these could do to a label is repeat it, where the key of its agent or customer is repeated. Such
+        keys are few or none; they are written down, so Spark knows how few before it plans the joins with them.
+        """
+        keys = {"supplier": "s_suppkey", "customer": "c_custkey"}
+        labels = self._events.select(*GROUND_TRUTH.names, *keys.values())
+        store = Store(self.spark)
+        for table, key in keys.items():
+            rows = self._table(table).where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(COPIES))
+            repeated = store.keep(rows.where(F.col(COPIES) > 1), f"repeated_{table}")
+            each = F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(COPIES, F.lit(1).cast("long"))))
+            labels = labels.join(repeated, key, "left").withColumn("_", each).drop(key, COPIES, "_")
         return labels
